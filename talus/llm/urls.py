@@ -13,6 +13,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talus.llm.common import publish
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SIZES = (3, 4, 5)
 BUCKETS = 2048
@@ -66,7 +68,7 @@ def _fit(rows: tuple[tuple[str, float], ...]) -> tuple[float, tuple[float, ...]]
     spark = SparkSession.active()
     table = spark.createDataFrame(list(rows), "url string, label double")
     host, path = host_and_path(F.col("url"))
-    hits = table.select("label", buckets(F.concat(host, path)).alias("b"))
+    hits = publish(table.select("label", buckets(F.concat(host, path)).alias("b")), "labelled_urls")
     dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.array_contains(F.col("b"), i).cast("double"))
     model = LogisticRegression(regParam=0.01, maxIter=40, standardization=False).fit(hits.select("label", array_to_vector(dense).alias("features")).coalesce(1))
     return float(model.intercept), tuple(round(float(x), 9) for x in model.coefficients.toArray())
