@@ -1,11 +1,399 @@
-"""All queries of the engine's own operators and their SQL."""
+"""All queries of the engine's own operators, each beside the SQL that says the same."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from talus.functions import dates, rules
+from talus.functions import text as T
+from talus.operators import aggregates as A
+from talus.operators import cascade, cdc, dedup, vectors
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query of (read) under its function's name, with its SQL."""
+
+    def add(f):
+        _QUERIES[f.__name__] = lambda s, d: f(lambda t: s.read.parquet(f"{d}/{t}.parquet"))
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _SQL
+
+
+def _baskets(read) -> DataFrame:
+    return read("lineitem").select("l_orderkey", "l_partkey").join(read("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_brand")
+
+
+_BASKETS = "SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey"
+
+
+# --- aggregates ------------------------------------------------------------------------------
+
+
+@query(f"""SELECT p_brand, count(DISTINCT l_orderkey) AS n, round(100.0::DOUBLE * count(DISTINCT l_orderkey) / (SELECT count(*) FROM orders), 1) AS pct
+FROM ({_BASKETS}) GROUP BY p_brand""")
+def share_overall(read):
+    whole = read("orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    return A.share(_baskets(read), "l_orderkey", ["p_brand"], whole=whole, exact=False)
+
+
+@query(f"""SELECT o_orderpriority, p_brand, count(DISTINCT l_orderkey) AS n, round(100.0::DOUBLE * count(DISTINCT l_orderkey) / any_value(total), 1) AS pct
+FROM ({_BASKETS}) b JOIN orders ON l_orderkey = o_orderkey JOIN (SELECT o_orderpriority, count(*) AS total FROM orders GROUP BY 1) t USING (o_orderpriority)
+GROUP BY o_orderpriority, p_brand""")
+def share_within_group(read):
+    orders = read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    return A.share(_baskets(read).join(orders, "l_orderkey"), "l_orderkey", ["o_orderpriority", "p_brand"], ["o_orderpriority"], orders, exact=False)
+
+
+@query("""SELECT r_name, n_name, c_mktsegment, count(DISTINCT c_custkey) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
+def cross_grain_location(read):
+    places = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    return A.cross(read("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")), "c_custkey", ["r_name", "n_name", "c_mktsegment"])
+
+
+@query(f"""WITH b AS (SELECT DISTINCT l_orderkey, p_brand FROM ({_BASKETS}))
+SELECT a.p_brand AS item_a, b.p_brand AS item_b, count(*) AS n FROM b a JOIN b ON a.l_orderkey = b.l_orderkey AND a.p_brand < b.p_brand GROUP BY 1, 2""")
+def pair_cooccurrence(read):
+    return A.pairs(_baskets(read), "l_orderkey", "p_brand")
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(DISTINCT user_id) AS n FROM events GROUP BY 1, 2")
+def snapshot_trend(read):
+    return A.trend(read("events").withColumn("day", F.date_format("ts", "yyyy-MM-dd")), "user_id", "day", "event_type")
+
+
+@query("""SELECT c_mktsegment, count(*) AS n, count(*) FILTER (WHERE c_acctbal < 0) AS n_debt, count(*) FILTER (WHERE c_acctbal >= 5000) AS n_rich
+FROM customer GROUP BY 1""")
+def filtered_counts(read):
+    return A.filtered_counts(read("customer"), ["c_mktsegment"], n_debt=F.col("c_acctbal") < 0, n_rich=F.col("c_acctbal") >= 5000)
+
+
+@query("""SELECT round(100 * avg((quality = 1)::INT), 1) AS quality_rate, round(100 * avg((toxic = 1)::INT), 1) AS toxic_rate,
+round(100.0::DOUBLE * count(DISTINCT doc_id) / (SELECT count(*) FROM documents), 1) AS coverage FROM labels""")
+def rate_kpis(read):
+    whole = read("documents").agg(F.count("*").alias("whole"))
+    said = read("labels").agg(A.rate(F.col("quality") == 1, exact=False).alias("quality_rate"), A.rate(F.col("toxic") == 1, exact=False).alias("toxic_rate"), F.count_distinct("doc_id").alias("n"))
+    return said.crossJoin(whole).select("quality_rate", "toxic_rate", A.percent(F.col("n"), F.col("whole"), exact=False).alias("coverage"))  # one row each
+
+
+@query("""SELECT CASE WHEN value < 0 OR value > 1000 THEN NULL WHEN value <= 10 THEN 'low' WHEN value <= 50 THEN 'mid' WHEN value <= 1000 THEN 'high' END AS bin,
+count(*) AS n FROM events GROUP BY 1""")
+def bins(read):
+    return read("events").groupBy(A.right_closed(F.col("value"), [0.0, 10.0, 50.0, 1000.0], ["low", "mid", "high"]).alias("bin")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT user_id, event_type FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS rn
+FROM events WHERE event_type IS NOT NULL GROUP BY 1, 2) WHERE rn = 1""")
+def mode_by_group(read):
+    return A.mode_by(read("events"), ["user_id"], "event_type")
+
+
+@query("SELECT lang, " + ", ".join(f"count(*) FILTER (WHERE source = 'src{i}') AS src{i}" for i in range(5)) + " FROM documents GROUP BY lang")
+def crosstab(read):
+    return A.crosstab(read("documents").select("lang", "source"), "lang", "source", [f"src{i}" for i in range(5)])
+
+
+@query("""SELECT name, null_rate FROM (SELECT round(100 * avg((text IS NULL OR text = '')::INT), 1) AS text, round(100 * avg((lang IS NULL OR lang = '')::INT), 1) AS lang,
+round(100 * avg((n_chars IS NULL OR n_chars = 0)::INT), 1) AS n_chars FROM documents) UNPIVOT (null_rate FOR name IN (text, lang, n_chars))""")
+def null_profile(read):
+    return A.null_profile(read("documents"), ["text", "lang", "n_chars"])
+
+
+@query("SELECT l_partkey, sum(l_quantity)::BIGINT AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_partkey LIMIT 20")
+def topk(read):
+    return A.top(read("lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").cast("long").alias("n")), 20, "n", "l_partkey")
+
+
+@query("""SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS rn FROM documents) WHERE rn <= 5""")
+def stratified_sample(read):
+    return A.stratified(read("documents").select("lang", "doc_id"), "lang", "doc_id", 5)
+
+
+@query("""SELECT l_returnflag, l_linestatus, count(*) AS n, grouping_id(l_returnflag, l_linestatus) AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
+def rollup_levels(read):
+    return read("lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+
+
+@query("""SELECT r_name, string_agg(n_name, '; ' ORDER BY n_name = 'CHINA', n_nationkey) AS names FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
+def grouped_names(read):
+    rows = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return A.catalog_text(rows, "r_name", "n_name", "n_nationkey", "CHINA")
+
+
+@query("SELECT c_mktsegment, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 1) AS pct FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1")
+def share_preview(read):
+    return A.share(read("customer").where("c_mktsegment <> 'BUILDING'"), "c_custkey", ["c_mktsegment"], exact=False)
+
+
+@query("""SELECT count(*) FILTER (WHERE n >= 2) AS multi, count(*) AS n FROM (SELECT l_orderkey, count(DISTINCT p_brand) FILTER (WHERE p_brand IN
+('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21', 'Brand#22', 'Brand#23')) AS n FROM (""" + _BASKETS + ") GROUP BY 1)")
+def core_threshold(read):
+    core = F.array(*[F.lit(f"Brand#{i}{j}") for i in (1, 2) for j in (1, 2, 3)])
+    lists = _baskets(read).groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("all"))
+    return lists.agg(F.count_if(F.size(F.array_intersect("all", core)) >= 2).alias("multi"), F.count("*").alias("n"))
+
+
+@query(r"""SELECT term, count(*) AS n FROM (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM (
+    SELECT list_filter(regexp_extract_all(lower(text), '([a-z]+)', 1), lambda x: length(x) > 1 AND x NOT IN ('the', 'of')) AS w FROM benchmark)) GROUP BY 1""")
+def ngrams(read):
+    words = T.tokens(F.col("text"), ["the", "of"], "[a-z]+")
+    return read("benchmark").select(F.explode(A.terms(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT round(100 * avg(CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN a = b THEN 1 ELSE 0 END), 1) AS agreement, count(*) AS n
+FROM (SELECT quality AS a, CASE WHEN toxic = 0 THEN 1 ELSE 0 END AS b FROM labels)""")
+def agreement(read):
+    votes = F.array(F.col("quality"), F.when(F.col("toxic") == 0, 1).otherwise(0))
+    return read("labels").agg(F.round(100 * F.avg(A.agreement(votes)), 1).alias("agreement"), F.count("*").alias("n"))
+
+
+# --- change tracking -------------------------------------------------------------------------
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def first_wins(read):
+    return cdc.first_wins(read("events"), ["user_id"], "ts", "event_id").select("user_id", "event_id", "event_type")
+
+
+@query("""SELECT n.doc_id, CASE WHEN n.lang = '' THEN coalesce(o.lang, n.lang) ELSE n.lang END AS lang FROM
+(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang FROM documents) n LEFT JOIN (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0) o USING (doc_id)""")
+def carry_forward(read):
+    docs = read("documents").select("doc_id", "lang")
+    now = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")))
+    return cdc.carry_forward(now, docs.where("doc_id % 2 = 0"), "doc_id", ["lang"])
+
+
+@query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN nullif(l.quality, 0) ELSE -1 END AS quality FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def update_from(read):
+    target = read("documents").select("doc_id", F.lit(-1).alias("quality"))
+    return cdc.update_from(target, read("labels").select("doc_id", F.nullif("quality", F.lit(0)).alias("quality")), "doc_id", ["quality"])
+
+
+@query("""SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, coalesce(b.v, a.v) AS v FROM (SELECT o_orderkey, 'old' AS v FROM orders WHERE o_orderkey % 3 <> 0) a
+FULL JOIN (SELECT o_orderkey, 'new' AS v FROM orders WHERE o_orderkey % 2 = 0) b ON a.o_orderkey = b.o_orderkey""")
+def upsert_merge(read):
+    keys = read("orders").select("o_orderkey")
+    return cdc.upsert(keys.where("o_orderkey % 3 <> 0").withColumn("v", F.lit("old")), keys.where("o_orderkey % 2 = 0").withColumn("v", F.lit("new")), "o_orderkey")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 'old' ELSE 'new' END AS v FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""")
+def anti_insert(read):
+    keys = read("orders").select("o_orderkey")
+    return cdc.insert_missing(keys.where("o_orderkey % 3 <> 0").withColumn("v", F.lit("old")), keys.where("o_orderkey % 2 = 0").withColumn("v", F.lit("new")), "o_orderkey")
+
+
+@query("""WITH log AS (SELECT DISTINCT event_type, user_id, ts::DATE AS day FROM events),
+runs AS (SELECT event_type, day, row_number() OVER (PARTITION BY event_type ORDER BY day) AS no FROM (SELECT DISTINCT event_type, day FROM log)),
+k AS (SELECT event_type, user_id, min(day) AS first_seen, max(day) AS last_seen FROM log GROUP BY 1, 2),
+m AS (SELECT k.*, r.no, (SELECT max(no) FROM runs x WHERE x.event_type = k.event_type) - r.no AS missed, CASE WHEN k.event_type = 'click' THEN 1 ELSE 2 END AS need
+      FROM k JOIN runs r ON r.event_type = k.event_type AND r.day = k.last_seen)
+SELECT m.event_type, user_id, strftime(first_seen, '%Y-%m-%d') AS first_seen, strftime(last_seen, '%Y-%m-%d') AS last_seen, missed < need AS is_active,
+strftime(e.day, '%Y-%m-%d') AS removed, CASE WHEN need = 1 THEN 0 ELSE least(missed, 2) END::BIGINT AS miss_streak
+FROM m LEFT JOIN runs e ON e.event_type = m.event_type AND missed >= need AND e.no = m.no + need""")
+def cdc_state(read):
+    log = read("events").select("event_type", "user_id", F.to_date("ts").alias("snapshot_date")).distinct()
+    out = cdc.replay(log, ["event_type", "user_id"], "event_type", F.col("event_type") == "click")
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("first_seen", "last_seen", "removed")})
+
+
+@query("""SELECT event_type, count(*) FILTER (WHERE day = last_day) AS n_now, count(*) FILTER (WHERE day = first_day) AS n_first FROM
+(SELECT event_type, ts::DATE AS day, max(ts::DATE) OVER () AS last_day, min(ts::DATE) OVER () AS first_day FROM events) GROUP BY 1""")
+def run_counts(read):
+    days = read("events").select("event_type", F.to_date("ts").alias("day"))
+    ends = days.agg(F.max("day").alias("last_day"), F.min("day").alias("first_day"))
+    return days.crossJoin(F.broadcast(ends)).groupBy("event_type").agg(F.count_if(F.col("day") == F.col("last_day")).alias("n_now"), F.count_if(F.col("day") == F.col("first_day")).alias("n_first"))  # one row
+
+
+@query("""SELECT content_hash, count(*) AS n, min(doc_id) AS first_id FROM (SELECT doc_id, sha256(coalesce(text, '') || chr(0) || coalesce(lang, '') || chr(0))[1:16] AS content_hash
+FROM documents) GROUP BY 1""")
+def hash_dedup(read):
+    rows = read("documents").select("doc_id", T.content_hash(F.col("text"), F.col("lang")).alias("content_hash"))
+    return rows.groupBy("content_hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+
+
+@query("""SELECT d.doc_id, f.first_id FROM (SELECT doc_id, sha256(coalesce(text, '') || chr(0)) AS h FROM documents) d
+JOIN (SELECT sha256(coalesce(text, '') || chr(0)) AS h, min(doc_id) AS first_id FROM documents GROUP BY 1) f USING (h)""")
+def hash_fan_out(read):
+    rows = read("documents").select("doc_id", T.content_hash(F.col("text")).alias("h"))
+    once = dedup.representatives(rows, "h", "doc_id").select("h", F.col("doc_id").alias("first_id"))
+    return dedup.fan_out(rows, once, "h", ["first_id"]).select("doc_id", "first_id")
+
+
+# --- text ------------------------------------------------------------------------------------
+
+_ROLES = [("A", ["almond", "antique azure"]), ("B", ["blue", "burnished"]), ("C", ["chocolate", "red", "green"])]
+_ALIASES = [("NAVY", "navy blue"), ("BLUE", "blue"), ("THE_AND", "the and"), ("OF_THE", "of the"), ("OF", "of the and"), ("FR", "les des")]
+
+
+def _word(c: str, words: list[str]) -> str:
+    return f"regexp_matches({c}, '(^|[^\\pL\\pN_])({'|'.join(words)})($|[^\\pL\\pN_])')"
+
+
+@query("SELECT p_partkey, CASE " + " ".join(f"WHEN {_word('lower(p_name)', p)} THEN '{r}'" for r, p in _ROLES) + " ELSE 'OTHER' END AS role FROM part")
+def first_rule_wins(read):
+    return read("part").select("p_partkey", T.first_rule(T.norm(F.col("p_name")), _ROLES, "OTHER").alias("role"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[_\-/]+', ' ', 'g'), '\s+', ' ', 'g')) AS t FROM documents)
+SELECT doc_id, CASE """ + " ".join(f"WHEN {_word('t', [a])} THEN '{c}'" for c, a in sorted((x for x in _ALIASES if " " in x[1]), key=lambda x: -len(x[1]))) + " END AS code FROM d")
+def longest_alias(read):
+    return read("documents").select("doc_id", T.longest_alias(T.rule_norm(F.col("text")), _ALIASES)["code"].alias("code"))
+
+
+_TERMS = {"license": "License", "licence": "License", "version": "Version", "token": "Token", "password": "Secret", "des": "DES", "und": "UND"}
+
+
+@query("""WITH d AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents) SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter([""" + ", ".join(f"CASE WHEN regexp_matches(t, '(^|[^a-z0-9]){a}($|[^a-z0-9])') THEN '{c}' END" for a, c in _TERMS.items()) + """], lambda x: x IS NOT NULL))), ',') AS terms FROM d""")
+def dictionary_extract(read):
+    found, _ = T.extract_terms(F.array().cast("array<string>"), F.col("text"), _TERMS)
+    return read("documents").select("doc_id", F.array_join(found, ",").alias("terms"))
+
+
+@query("""SELECT doc_id, CASE WHEN a > 0 AND (b = 0 OR a <= b) AND (c = 0 OR a <= c) THEN 'und' WHEN b > 0 AND (c = 0 OR b <= c) THEN 'les' WHEN c > 0 THEN 'que' END AS place
+FROM (SELECT doc_id, strpos(lower(text), 'und') AS a, strpos(lower(text), 'les') AS b, strpos(lower(text), 'que') AS c FROM documents)""")
+def first_position(read):
+    places = [("und", "x", ["und"]), ("les", "y", ["les"]), ("que", "z", ["que"])]
+    return read("documents").select("doc_id", T.first_place(F.lower("text"), places)["place"].alias("place"))
+
+
+@query("SELECT doc_id, md5(strip_accents(text)) AS plain FROM documents")
+def strip_accents(read):
+    return read("documents").select("doc_id", F.md5(T.strip_accents(F.col("text"))).alias("plain"))
+
+
+@query(r"""SELECT c_custkey, nullif(trim(regexp_replace(regexp_replace(lower(c_name), '\b(customer|inc)\b', ' ', 'g'), '\s+', ' ', 'g'), ' .,-'), '') AS company FROM customer""")
+def clean_key(read):
+    return read("customer").select("c_custkey", T.clean_company(F.col("c_name"), ["customer", "inc"]).alias("company"))
+
+
+@query(r"""SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(t, '[\(\[\{].*?[\)\]\}]', ' ', 'g'), '\s+', ' ', 'g')), ''), trim(t)) AS title
+FROM (SELECT page_id, '(new) ' || url || ' [x]' AS t FROM pages)""")
+def clean_title(read):
+    return read("pages").select("page_id", T.clean_title(F.concat(F.lit("(new) "), "url", F.lit(" [x]"))).alias("title"))
+
+
+@query(r"""SELECT doc_id, coalesce(round(length(regexp_replace(lower(text), '[^éèêçàñóíáúäöüß]', '', 'g'))::DOUBLE / nullif(length(regexp_replace(lower(text), '\PL', '', 'g')), 0), 4), 0) AS ratio FROM documents""")
+def letter_ratio(read):
+    return read("documents").select("doc_id", T.letter_ratio(F.col("text"), "éèêçàñóíáúäöüß").alias("ratio"))
+
+
+@query(r"""SELECT doc_id, md5(left(array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(lower(x), 'licen[sc]e|token')), chr(10)), 4000)) AS kept FROM documents""")
+def line_filter(read):
+    lines = F.filter(F.split("text", "\n"), lambda x: (F.trim(x) != "") & ~F.lower(x).rlike("licen[sc]e|token"))
+    return read("documents").select("doc_id", F.md5(F.substring(F.concat_ws("\n", lines), 1, 4000)).alias("kept"))
+
+
+@query("""SELECT o_orderkey, strftime(CASE o_orderkey % 4 WHEN 3 THEN DATE '2026-06-16' - (o_orderkey % 5)::INT WHEN 2 THEN DATE '2026-06-16' ELSE o_orderdate::DATE END, '%Y-%m-%d') AS posted FROM orders""")
+def date_parse(read):
+    raw = (
+        F.when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'+07:00'"))
+        .when(F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "dd-MM-yyyy"))
+        .when(F.col("o_orderkey") % 4 == 2, F.lit("3 hours ago"))
+        .otherwise(F.concat((F.col("o_orderkey") % 5).cast("string"), F.lit(" days ago")))
+    )
+    return read("orders").select("o_orderkey", F.date_format(dates.posted_date(raw, F.lit("2026-06-16").cast("date")), "yyyy-MM-dd").alias("posted"))
+
+
+@query(r"""SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>', ' ', 'g'),
+'&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))) AS body FROM pages""")
+def html_text(read):
+    return read("pages").select("page_id", F.md5(T.html_text(F.col("html"))).alias("body"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def json_extract(read):
+    return read("events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN regexp_matches(o_orderpriority, '(?i)urgent|high') THEN true ELSE false END AS hot FROM orders""")
+def regex_filter(read):
+    return read("orders").select("o_orderkey", F.coalesce(F.col("o_orderpriority").rlike("(?i)urgent|high"), F.lit(False)).alias("hot"))
+
+
+@query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'der ') THEN 'DE' END, CASE WHEN contains(lower(text), 'les ') OR contains(lower(text), 'des ') THEN 'FR' END], lambda x: x IS NOT NULL), ',') AS codes FROM documents""")
+def substring_codes(read):
+    return read("documents").select("doc_id", F.array_join(T.codes_of(F.lower("text"), [("DE", ["der "]), ("FR", ["les ", "des "])]), ",").alias("codes"))
+
+
+@query("""SELECT page_id, CASE WHEN h = 'blog' THEN h END AS kind, rest FROM (SELECT page_id, split_part(split_part(url, '//', 2), '.', 1) AS h, length(url) AS rest FROM pages)""")
+def prefix_split(read):
+    host = F.split_part(F.split_part("url", F.lit("//"), F.lit(2)), F.lit("."), F.lit(1))
+    return read("pages").select("page_id", F.when(host == "blog", host).alias("kind"), F.length("url").cast("long").alias("rest"))
+
+
+# --- vectors, cascade, dedup -----------------------------------------------------------------
+
+
+@query("""WITH p AS (SELECT label, list(v ORDER BY i) AS p FROM (SELECT label, i, avg(v::DOUBLE) AS v FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT vec_id, p.label, list_inner_product(embedding::DOUBLE[], p) AS s, row_number() OVER (PARTITION BY vec_id ORDER BY list_inner_product(embedding::DOUBLE[], p) DESC, p.label) AS rn FROM embeddings, p)
+SELECT a.vec_id, a.label AS best, round(a.s, 4) AS similarity, round(a.s - b.s, 4) AS margin FROM s a JOIN s b ON a.vec_id = b.vec_id AND a.rn = 1 AND b.rn = 2""")
+def prototype_match(read):
+    vecs = read("embeddings")
+    out = vectors.match(vecs, vectors.prototypes(vecs, "label", "embedding"), "label", "embedding", 0.82, 0.02)
+    return out.select("vec_id", "best", F.round("similarity", 4).alias("similarity"), F.round("margin", 4).alias("margin"))
+
+
+@query("""SELECT method, count(*) AS n FROM (SELECT CASE WHEN code = 1 THEN 'rule' WHEN length(text) % 7 > 3 THEN 'embedding' ELSE 'open' END AS method FROM
+(SELECT text, CASE WHEN """ + _word("lower(text)", ["license"]) + """ THEN 1 ELSE 0 END AS code FROM documents)) GROUP BY 1""")
+def cascade_mix(read):
+    rule = T.longest_alias(F.lower("text"), [("LIC", "license")], {"license"})["code"]
+    score = F.when(F.length("text") % 7 > 3, 0.9).otherwise(0.5)
+    out = cascade.tiers(read("documents"), rule, F.lit("VEC"), score, F.lit(0.1))
+    return out.groupBy(F.coalesce("method", F.lit("open")).alias("method")).agg(F.count("*").alias("n"))
+
+
+@query()
+def cascade_labels(read):
+    docs = read("documents").select(F.col("doc_id").cast("string").alias("job_id"), "text", T.content_hash(F.col("text")).alias("content_hash"))
+    rule = T.longest_alias(F.lower("text"), [("LICENSED", "license")], {"license"})["code"]
+    rows = cascade.tiers(docs, rule, F.lit("SHORT"), F.when(F.length("text") < 300, 0.9).otherwise(0.1), F.lit(0.1))
+    names = docs.sparkSession.createDataFrame([("LICENSED", "D", "S1"), ("SHORT", "D", "S2"), ("LONG", "E", "S3"), ("OTHER", "OTHER", "OTHER")], "code string, domain string, subdomain string")
+    return cascade.label(rows, "content_hash", "text", "job_id", lambda t: ("LONG", 0.7, "long") if len(t) > 1000 else (None, 0.1, "unclear"), "stub", names)
+
+
+@query()
+def labeling_kpis(read):
+    rows = cascade_labels(read)
+    return cascade.kpis(rows)
+
+
+@query()
+def fuzzy_dedup(read):
+    docs = read("documents").select("doc_id", F.substring("text", 1, 200).alias("title"), F.col("source").alias("block"), F.col("lang").alias("city"))
+    return dedup.fuzzy(docs, "doc_id", "block", "city", "title", ["doc_id"]).select("doc_id", "is_duplicate_of")
+
+
+@query()
+def kmeans_assign(read):
+    vecs = read("embeddings").select("vec_id", "embedding")
+    model, _ = vectors.cluster(vecs, "embedding", [4, 8])
+    return vectors.assign(vecs, "embedding", model).select("vec_id", "cluster_id", "dist_to_centroid")
+
+
+@query()
+def hashed_embedding(read):
+    return vectors.embed(read("benchmark"), "item_id", "text", vectors.hashing_encoder())
+
+
+@query()
+def normalised_places(read):
+    rows = read("nation").select("n_nationkey", T.first_place(T.strip_accents(T.norm(F.concat(F.lit("Hải Phòng / TPHCM "), "n_name"))), rules.CITIES).alias("p"))
+    return rows.select("n_nationkey", "p.place", "p.region")
