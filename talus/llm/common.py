@@ -58,3 +58,23 @@ def batches(spark: SparkSession, rows: int = 500) -> None:
 
 def power_of_two(n: int) -> int:
     return 1 << max(0, int(n) - 1).bit_length()
+
+
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one, so that names of an operator's own never clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def unpacked(df: DataFrame, columns: list[str], row: str = "row", **new: Column) -> DataFrame:
+    """The packed columns again, those in ``new`` with a new value."""
+    return df.select(*[(new[c] if c in new else F.col(f"{row}.`{c}`")).alias(c) for c in columns])
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose place in the scan is in ``gone`` (rid).
+
+    A scan numbers its rows alike each time, as its splits depend on the files alone.
+    """
+    gone = small(publish(gone.select(F.col("rid").alias("gone")), "dropped"))
+    rows = docs.select(packed(docs).alias("row"), F.monotonically_increasing_id().alias("rid"))
+    return unpacked(rows.join(gone, F.col("rid") == F.col("gone"), "left_anti"), docs.columns)

@@ -9,14 +9,12 @@ the slot's winner, the others are grouped by digest on their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import publish, power_of_two, small, text_of
+from talus.llm.common import power_of_two, publish, small, text_of, without_rows
 
 #: Digests of a shard on average, at most (32 + 8 bytes each, and about 3 bits of levels).
 SHARD = 16_384
@@ -176,5 +174,4 @@ def dedup(docs: DataFrame, split: int | None = None) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``dedup`` drops (rows are found by their place in the scan)."""
-    gone = small(publish(dedup(docs).where(~F.col("kept")).select(F.col("rid").alias("__rid")), "dropped"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(gone, "__rid", "left_anti").select(*docs.columns)
+    return without_rows(docs, dedup(docs).where(~F.col("kept")))

@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from talus.llm.common import batches
+from talus.llm.common import batches, packed, unpacked
 
 SIZES = (1, 2, 3, 4)
 HASHES = 3
@@ -149,8 +150,8 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     """``keep`` columns and lang_pred, score for every row, of the text alone."""
     batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f for c in keep for f in docs.schema.fields if f.name == c]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
+    kept = docs.select(*keep, F.col("text").alias("__text"))
+    schema = T.StructType(kept.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
@@ -158,7 +159,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
             cols = [b.column(c) for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -173,5 +174,6 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None = None, least: float = KEEP_SCORE) -> DataFrame:
     """``docs`` whose text has a language: not ``und``, and a score of ``least`` or more."""
-    found = predict(docs, model or fit(docs), tuple(docs.columns))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    rows = docs.select("text", packed(docs).alias("row"))
+    found = predict(rows, model or fit(docs), ("row",))
+    return unpacked(found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)), docs.columns)

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import small, text_of
+from talus.llm.common import packed, small, text_of, unpacked
 
 #: Ids of one segment: the longest posting list.
 SEGMENT = 2048
@@ -172,9 +172,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span's text replaced by ``mark``; overlapping spans become one."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    nothing = F.col("text").isNull().alias("__null")
-    rows = find(docs.select("*", nothing), keep=(*rest, "__null"))
+    rows = find(docs.select("doc_id", "text", packed(docs).alias("row")), keep=("row",))
     spans = F.array_sort(F.flatten(F.array(*[F.col(f"found.{r.kind}") for r in RULES])))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
@@ -186,6 +184,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         )
 
     done = F.aggregate(spans, start, step)
-    rows = rows.withColumn("__done", F.when(F.size(spans) > 0, done))
-    text = F.coalesce(F.concat(F.col("__done.out"), F.substring(F.col("text"), F.col("__done.at") + 1, F.length("text"))), F.col("text"))
-    return rows.withColumn("text", F.when(F.col("__null"), F.lit(None)).otherwise(text)).select(*docs.columns)
+    rows = rows.withColumn("done", F.when(F.size(spans) > 0, done))
+    text = F.coalesce(F.concat(F.col("done.out"), F.substring(F.col("text"), F.col("done.at") + 1, F.length("text"))), F.col("row.text"))
+    return unpacked(rows, docs.columns, text=text)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches, publish, small
+from talus.llm.common import batches, publish, small, without_rows
 
 BITS, BLOCK, RADIUS = 64, 16, 2
 #: Fingerprints of one key that are still compared in pairs.
@@ -176,5 +176,4 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the smallest id's (its first row)."""
-    gone = small(publish(classes(docs).where("rid != winner").select(F.col("rid").alias("__rid")), "dropped"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(gone, "__rid", "left_anti").select(*docs.columns)
+    return without_rows(docs, classes(docs).where("rid != winner"))

@@ -56,11 +56,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def buckets(text: Column) -> Column:
     """Buckets of the character n-grams, repeats included."""
-    grams = [
-        F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i, n=n: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-        for n in SIZES
-    ]
-    return F.transform(F.concat(*grams), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+
+    def grams(n: int) -> Column:
+        found = F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
+        return F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    return F.transform(F.concat(*map(grams, SIZES)), lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
 
 
 @lru_cache(maxsize=4)
