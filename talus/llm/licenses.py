@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,11 +77,10 @@ def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     first in order of name.
     """
     text = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), F.lit(" "))
-    docs = docs.withColumn("__plain", text)
-    gate = F.lit(False)
-    for b in telling(templates, threshold):
-        gate = gate | F.contains("__plain", F.lit(f" {b} "))
-    units = docs.where(gate).drop("__plain").withColumn("__unit", F.explode(F.split("text", CUT))).drop("text")
+    held = [f" {b} " for b in telling(templates, threshold)]
+    # the normalised text is bound once, for all of the bigrams looked for in it
+    gate = F.exists(F.array(text), lambda plain: reduce(or_, [F.contains(plain, F.lit(b)) for b in held]))
+    units = docs.where(gate).withColumn("__unit", F.explode(F.split("text", CUT))).drop("text")
     units = units.withColumn("__grams", _bigrams(_plain(F.col("__unit")))).drop("__unit")
     lo, hi = threshold / (2 - threshold), (2 - threshold) / threshold
     best = []
