@@ -39,7 +39,7 @@ def posting_ld(payload: Column) -> Column:
     """The page's JSON-LD posting: description, datePosted, skills (split at commas), industry."""
     text = F.regexp_extract(payload, r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>', 1)
     ld = F.from_json(text, "`@type` string, description string, datePosted string, skills string, industry string, employmentType string")
-    skills = F.filter(F.transform(F.split(ld["skills"], ","), F.trim), lambda s: s != "")
+    skills = F.filter(F.transform(F.split(ld["skills"], ","), lambda s: F.trim(s)), lambda s: s != "")
     return F.when(ld["@type"] == "JobPosting", F.struct(html_text(ld["description"]).alias("description"), ld["datePosted"].alias("posted"), skills.alias("skills"), ld["industry"].alias("industry"), ld["employmentType"].alias("employment")))
 
 
