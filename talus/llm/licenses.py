@@ -12,8 +12,6 @@ from __future__ import annotations
 
 import math
 import re
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,9 +63,10 @@ def _plain(text: Column) -> Column:
 
 
 def _bigrams(unit: Column) -> Column:
-    w = F.split(unit, " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))
-    return F.when(F.size(w) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    # the words are bound once: named inside the inner function, they would be split anew for each word
+    first = lambda w: F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+    pairs = lambda w: F.zip_with(first(w), F.slice(w, 2, F.size(w)), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.transform(F.array(F.split(unit, " ")), pairs)[0])
 
 
 def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -76,23 +75,26 @@ def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     A unit that several templates reach counts for the highest coefficient, then the license
     first in order of name.
     """
-    text = F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), F.lit(" "))
-    held = [f" {b} " for b in telling(templates, threshold)]
-    # the normalised text is bound once, for all of the bigrams looked for in it
-    gate = F.exists(F.array(text), lambda plain: reduce(or_, [F.contains(plain, F.lit(b)) for b in held]))
-    units = docs.where(gate).withColumn("__unit", F.explode(F.split("text", CUT))).drop("text")
-    units = units.withColumn("__grams", _bigrams(_plain(F.col("__unit")))).drop("__unit")
+    held = "|".join(b.replace(" ", "[^a-z0-9]+") for b in telling(templates, threshold))
+    gate = F.rlike(F.lower("text"), F.lit(f"(?<![a-z0-9])(?:{held})(?![a-z0-9])"))
     lo, hi = threshold / (2 - threshold), (2 - threshold) / threshold
-    best = []
-    for name, t in templates:
-        grams = bigrams_of(t)
-        shared = F.size(F.array_intersect("__grams", F.array(*map(F.lit, grams))))
-        dice = 2 * shared / (F.size("__grams") + len(grams))
-        fits = F.size("__grams").between(math.ceil(lo * len(grams) - 1e-9), math.floor(hi * len(grams) + 1e-9))
-        best.append(F.when(fits, F.when(dice >= threshold, F.struct((-dice).alias("rank"), F.lit(name).alias("license")))))
-    return units.withColumn("__best", F.array_min(F.array_compact(F.array(*best)))).where("__best is not null").withColumns(
+
+    def best(grams: Column) -> Column:
+        reached = []
+        for name, t in templates:
+            of = bigrams_of(t)
+            dice = 2 * F.size(F.array_intersect(grams, F.array(*map(F.lit, of)))) / (F.size(grams) + len(of))
+            fits = F.size(grams).between(math.ceil(lo * len(of) - 1e-9), math.floor(hi * len(of) + 1e-9))
+            reached.append(F.when(fits, F.when(dice >= threshold, F.struct((-dice).alias("rank"), F.lit(name).alias("license")))))
+        return F.array_min(F.array_compact(F.array(*reached)))
+
+    # one expression inside the generator: as columns of their own, bigrams and coefficients would
+    # be copied into each of the filters and projections that name them
+    units = F.transform(F.split("text", CUT), lambda unit: _bigrams(_plain(unit)))
+    found = F.explode(F.array_compact(F.transform(units, best)))
+    return docs.where(gate).withColumn("__best", found).drop("text").withColumns(
         {"license": F.col("__best.license"), "dice": -F.col("__best.rank")}
-    ).drop("__best", "__grams")
+    ).drop("__best")
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
