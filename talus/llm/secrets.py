@@ -71,11 +71,11 @@ def trigrams(rules: tuple[Rule, ...]) -> list[str]:
 
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The inverted index (segment, trigram, ids): ids sorted, distinct and at most SEGMENT."""
-    low = F.lower(text_of())
-    held = F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams(rules)])
+    # the text is lower-cased once: named outright, it would be again for each trigram
+    held = lambda low: F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams(rules)]))
     return (
         docs.where(F.col("doc_id").isNotNull())
-        .select("doc_id", F.explode(F.array_compact(held)).alias("trigram"))
+        .select("doc_id", F.explode(F.transform(F.array(F.lower(text_of())), held)[0]).alias("trigram"))
         .groupBy(F.expr(f"floor(doc_id / {SEGMENT})").alias("segment"), "trigram")
         .agg(F.array_sort(F.collect_set("doc_id")).alias("ids"))
     )
