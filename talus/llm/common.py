@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 ASCII_SPACE = r"\x20\x09-\x0D"
 #: Rows up to which the small side of a join may be broadcast (8 to 40 bytes a row).
 BROADCAST_ROWS = 250_000
+PARALLELISM = "spark.sql.leafNodeDefaultParallelism"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -70,11 +71,24 @@ def unpacked(df: DataFrame, columns: list[str], row: str = "row", **new: Column)
     return df.select(*[(new[c] if c in new else F.col(f"{row}.`{c}`")).alias(c) for c in columns])
 
 
-def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose place in the scan is in ``gone`` (rid).
+def settled(docs: DataFrame) -> DataFrame:
+    """``docs`` so that each scan of it numbers its rows alike.
 
-    A scan numbers its rows alike each time, as its splits depend on the files alone.
+    The splits of a scan follow the cores at hand, which change as executors come and go, unless
+    the session names a parallelism: it is pinned here.  Rows that come of more than projections
+    and filters over one relation (a shuffle may deal them out otherwise) are written first.
     """
+    spark = docs.sparkSession
+    if spark.conf.get(PARALLELISM, None) is None:
+        spark.conf.set(PARALLELISM, str(max(1, spark.sparkContext.defaultParallelism)))
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return docs if plan.children().isEmpty() and plan.nodeName() not in ("InMemoryRelation", "LogicalRDD") else publish(docs, "settled")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (settled) without the rows whose place in the scan is in ``gone`` (rid)."""
     gone = small(publish(gone.select(F.col("rid").alias("gone")), "dropped"))
     rows = docs.select(packed(docs).alias("row"), F.monotonically_increasing_id().alias("rid"))
     return unpacked(rows.join(gone, F.col("rid") == F.col("gone"), "left_anti"), docs.columns)

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import power_of_two, publish, small, text_of, without_rows
+from talus.llm.common import power_of_two, publish, settled, small, text_of, without_rows
 
 #: Digests of a shard on average, at most (32 + 8 bytes each, and about 3 bits of levels).
 SHARD = 16_384
@@ -174,4 +174,5 @@ def dedup(docs: DataFrame, split: int | None = None) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``dedup`` drops (rows are found by their place in the scan)."""
+    docs = settled(docs)
     return without_rows(docs, dedup(docs).where(~F.col("kept")))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches, publish, small, without_rows
+from talus.llm.common import batches, publish, settled, small, without_rows
 
 BITS, BLOCK, RADIUS = 64, 16, 2
 #: Fingerprints of one key that are still compared in pairs.
@@ -176,4 +176,5 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the smallest id's (its first row)."""
+    docs = settled(docs)
     return without_rows(docs, classes(docs).where("rid != winner"))

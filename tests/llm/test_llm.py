@@ -14,6 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from talus.llm import bpe, exact, html, language, licenses, packing, prefix, secrets, simhash, urls
+from talus.llm.common import PARALLELISM, settled
 from talus.llm.queries import oracle_sql, vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, rid string, `__mask` string"
@@ -362,3 +363,16 @@ def test_pipeline(spark, tmp_path, texts):
     for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
         total[r["sequence_id"]] = total.get(r["sequence_id"], 0) + r["length"]
     assert max(total.values()) <= packing.CAPACITY
+
+
+def test_rows_keep_their_numbers(spark, texts, tmp_path):
+    docs = frame(spark, texts)
+    docs.repartition(4).write.parquet(str(tmp_path / "docs"))
+    scan = spark.read.parquet(str(tmp_path / "docs"))
+    assert settled(scan.where("doc_id is not null").select("doc_id", "text")).inputFiles() == scan.inputFiles()
+    assert spark.conf.get(PARALLELISM) is not None
+    # rows that a shuffle deals out are written before they are numbered
+    dealt = scan.repartition(7)
+    assert settled(dealt).inputFiles() != scan.inputFiles()
+    kept = lambda df: Counter((r["doc_id"], r["text"]) for r in exact.without_copies(df).collect())
+    assert kept(dealt) == kept(scan) == kept(docs)
