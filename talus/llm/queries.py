@@ -74,7 +74,7 @@ WITH t AS (SELECT license, {grams} AS b FROM (SELECT license, string_split(words
 -- a sentence mark before blanks ends a unit; the mark itself is no word, so it may go
 units AS (SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[.!?;][ \\t]+|[\\r\\n]+')) AS u FROM documents),
 u AS (SELECT doc_id, row_number() OVER () AS uid, {grams} AS g FROM (
-        SELECT doc_id, string_split(trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units) WHERE len(w) BETWEEN 2 AND 40),
+        SELECT doc_id, string_split(trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM units) WHERE len(w) >= 2),
 hit AS (SELECT doc_id, uid, license, 2.0::DOUBLE * len(list_intersect(g, b)) / (len(g) + len(b)) AS dice FROM u, t WHERE len(g) BETWEEN 0.6 * len(b) AND 1.6 * len(b)),
 best AS (SELECT doc_id, uid, arg_min(license, (-dice, license)) AS license, max(dice) AS dice FROM hit WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, uid)
 SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_notices, round(max(dice), 4) AS best_dice FROM best GROUP BY doc_id"""
