@@ -155,14 +155,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """A row for each document row: doc_id, fp, rid, component_id, winner (the rid that stays)."""
+    """A row for each document row: doc_id, fp, rid, component_id, winner (the rid that stays).
+
+    Only fingerprints of classes of two rows or more are joined back; a lone row is its own class.
+    """
     rows = fingerprints(docs)
-    same = publish(rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid")).alias("low")), "distinct")
+    low = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid")).alias("low")
+    same = publish(rows.groupBy("fp").agg(low, F.count("*").alias("n")), "distinct")
     roots = components(links(same.select("fp")))
-    joined = same.join(roots, same["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("low").alias("win")).select(F.col("root").alias("__root"), "win")
-    of = publish(joined.join(least, F.col("root") == F.col("__root")).select(F.col("fp").alias("__fp"), F.col("win.doc_id").alias("component_id"), F.col("win.rid").alias("winner")), "classes")
-    return rows.join(small(of), F.col("fp") == F.col("__fp")).drop("__fp")
+    joined = same.join(roots, same["fp"] == roots["node"], "left").select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
+    least = joined.groupBy("root").agg(F.min("low").alias("win"), F.sum("n").alias("held")).where("held > 1").select(F.col("root").alias("__root"), "win")
+    of = publish(joined.join(least, F.col("root") == F.col("__root")).select(F.col("fp").alias("__fp"), F.col("win.doc_id").alias("least"), F.col("win.rid").alias("first")), "classes")
+    alone = F.col("__fp").isNull()
+    return rows.join(small(of), F.col("fp") == F.col("__fp"), "left").select(
+        "doc_id", "fp", "rid", F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), F.when(alone, F.col("rid")).otherwise(F.col("first")).alias("winner")
+    )
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
