@@ -11,6 +11,7 @@ from talus.functions import dates, rules
 from talus.functions import text as T
 from talus.operators import aggregates as A
 from talus.operators import cascade, cdc, dedup, vectors
+from talus.sources import postings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -168,17 +169,24 @@ def agreement(read):
 # --- change tracking -------------------------------------------------------------------------
 
 
+def _versions(read) -> tuple[DataFrame, DataFrame]:
+    """Customers of finished orders as the old version, those of open orders as the new one."""
+    of = lambda status, v: read("orders").where(F.col("o_orderstatus") == status).select("o_custkey").distinct().withColumn("v", F.lit(v))
+    return of("F", "old"), of("O", "new")
+
+
 @query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
 def first_wins(read):
     return cdc.first_wins(read("events"), ["user_id"], "ts", "event_id").select("user_id", "event_id", "event_type")
 
 
 @query("""SELECT n.doc_id, CASE WHEN n.lang = '' THEN coalesce(o.lang, n.lang) ELSE n.lang END AS lang FROM
-(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE lang END AS lang FROM documents) n LEFT JOIN (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0) o USING (doc_id)""")
+(SELECT doc_id, CASE WHEN source = 'src0' THEN '' ELSE lang END AS lang FROM documents) n
+LEFT JOIN (SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) o USING (doc_id)""")
 def carry_forward(read):
-    docs = read("documents").select("doc_id", "lang")
-    now = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("lang")))
-    return cdc.carry_forward(now, docs.where("doc_id % 2 = 0"), "doc_id", ["lang"])
+    docs = read("documents").select("doc_id", "lang", "source")
+    now = docs.select("doc_id", F.when(F.col("source") == "src0", "").otherwise(F.col("lang")).alias("lang"))
+    return cdc.carry_forward(now, docs.join(read("labels"), "doc_id", "left_semi"), "doc_id", ["lang"])
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN nullif(l.quality, 0) ELSE -1 END AS quality FROM documents d LEFT JOIN labels l USING (doc_id)""")
@@ -187,17 +195,18 @@ def update_from(read):
     return cdc.update_from(target, read("labels").select("doc_id", F.nullif("quality", F.lit(0)).alias("quality")), "doc_id", ["quality"])
 
 
-@query("""SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, coalesce(b.v, a.v) AS v FROM (SELECT o_orderkey, 'old' AS v FROM orders WHERE o_orderkey % 3 <> 0) a
-FULL JOIN (SELECT o_orderkey, 'new' AS v FROM orders WHERE o_orderkey % 2 = 0) b ON a.o_orderkey = b.o_orderkey""")
+@query("""SELECT coalesce(b.o_custkey, a.o_custkey) AS o_custkey, coalesce(b.v, a.v) AS v FROM (SELECT DISTINCT o_custkey, 'old' AS v FROM orders WHERE o_orderstatus = 'F') a
+FULL JOIN (SELECT DISTINCT o_custkey, 'new' AS v FROM orders WHERE o_orderstatus = 'O') b ON a.o_custkey = b.o_custkey""")
 def upsert_merge(read):
-    keys = read("orders").select("o_orderkey")
-    return cdc.upsert(keys.where("o_orderkey % 3 <> 0").withColumn("v", F.lit("old")), keys.where("o_orderkey % 2 = 0").withColumn("v", F.lit("new")), "o_orderkey")
+    old, new = _versions(read)
+    return cdc.upsert(old, new, "o_custkey")
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN 'old' ELSE 'new' END AS v FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 2 = 0""")
+@query("""SELECT o_custkey, max(CASE o_orderstatus WHEN 'F' THEN 'old' ELSE 'new' END) AS v FROM orders
+WHERE o_orderstatus = 'F' OR (o_orderstatus = 'O' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')) GROUP BY 1""")
 def anti_insert(read):
-    keys = read("orders").select("o_orderkey")
-    return cdc.insert_missing(keys.where("o_orderkey % 3 <> 0").withColumn("v", F.lit("old")), keys.where("o_orderkey % 2 = 0").withColumn("v", F.lit("new")), "o_orderkey")
+    old, new = _versions(read)
+    return cdc.insert_missing(old, new, "o_custkey")
 
 
 @query("""WITH log AS (SELECT DISTINCT event_type, user_id, ts::DATE AS day FROM events),
@@ -351,11 +360,11 @@ def prototype_match(read):
     return out.select("vec_id", "best", F.round("similarity", 4).alias("similarity"), F.round("margin", 4).alias("margin"))
 
 
-@query("""SELECT method, count(*) AS n FROM (SELECT CASE WHEN code = 1 THEN 'rule' WHEN length(text) % 7 > 3 THEN 'embedding' ELSE 'open' END AS method FROM
+@query("""SELECT method, count(*) AS n FROM (SELECT CASE WHEN code = 1 THEN 'rule' WHEN length(text) > 1000 THEN 'embedding' ELSE 'open' END AS method FROM
 (SELECT text, CASE WHEN """ + _word("lower(text)", ["license"]) + """ THEN 1 ELSE 0 END AS code FROM documents)) GROUP BY 1""")
 def cascade_mix(read):
     rule = T.longest_alias(F.lower("text"), [("LIC", "license")], {"license"})["code"]
-    score = F.when(F.length("text") % 7 > 3, 0.9).otherwise(0.5)
+    score = F.when(F.length("text") > 1000, 0.9).otherwise(0.5)
     out = cascade.tiers(read("documents"), rule, F.lit("VEC"), score, F.lit(0.1))
     return out.groupBy(F.coalesce("method", F.lit("open")).alias("method")).agg(F.count("*").alias("n"))
 
@@ -377,8 +386,7 @@ def labeling_kpis(read):
 
 @query()
 def fuzzy_dedup(read):
-    docs = read("documents").select("doc_id", F.substring("text", 1, 200).alias("title"), F.col("source").alias("block"), F.col("lang").alias("city"))
-    return dedup.fuzzy(docs, "doc_id", "block", "city", "title", ["doc_id"]).select("doc_id", "is_duplicate_of")
+    return dedup.fuzzy(read("part"), "p_partkey", "p_brand", "p_type", "p_name", ["p_partkey"]).select("p_partkey", "is_duplicate_of")
 
 
 @query()
@@ -397,3 +405,72 @@ def hashed_embedding(read):
 def normalised_places(read):
     rows = read("nation").select("n_nationkey", T.first_place(T.strip_accents(T.norm(F.concat(F.lit("Hải Phòng / TPHCM "), "n_name"))), rules.CITIES).alias("p"))
     return rows.select("n_nationkey", "p.place", "p.region")
+
+
+# --- sources ---------------------------------------------------------------------------------
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_partkey, l_linenumber, (l_linenumber - 1) // 3 AS page FROM lineitem),
+ends AS (SELECT l_orderkey, min(page) AS last_page FROM (SELECT l_orderkey, page FROM r GROUP BY 1, 2 HAVING count(*) < 3) GROUP BY 1),
+f AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS rn FROM r LEFT JOIN ends USING (l_orderkey) WHERE last_page IS NULL OR page <= last_page)
+SELECT l_orderkey AS item, count(*) AS new_ids FROM f WHERE rn = 1 GROUP BY 1""")
+def paginated(read):
+    page = F.floor((F.col("l_linenumber") - 1) / 3)
+    rows = read("lineitem").select(F.col("l_orderkey").alias("item"), page.alias("page"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("source_job_id"))
+    return postings.paginate(rows, 3)[1]
+
+
+@query("SELECT count(*) AS listed, count(DISTINCT l_partkey) AS ids, round_even(100 * (1 - count(DISTINCT l_partkey)::DOUBLE / count(*)), 1) AS overlap_pct FROM lineitem")
+def volume_estimate(read):
+    return postings.volume(read("lineitem").select(F.col("l_partkey").alias("source_job_id")))
+
+
+@query("""SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Hybrid' WHEN 'MACHINERY' THEN 'Remote' WHEN 'FURNITURE' THEN 'At office' END AS model, trim(c_name) AS rest FROM customer""")
+def work_models(read):
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "Hybrid").when(F.col("c_mktsegment") == "MACHINERY", "Remote").when(F.col("c_mktsegment") == "FURNITURE", "At office").otherwise("")
+    model, rest = postings.work_model(F.concat(kind, F.lit(" "), "c_name"))
+    return read("customer").select("c_custkey", model.alias("model"), rest.alias("rest"))
+
+
+@query("SELECT o_orderkey, o_orderkey::INT AS total FROM orders")
+def thousands(read):
+    return read("orders").select("o_orderkey", postings.total(F.concat(F.lit("about "), F.format_number("o_orderkey", 0), F.lit(" rows"))).alias("total"))
+
+
+@query("SELECT c_custkey, CASE WHEN length(h) >= 6 THEN h ELSE 'https://x.example/a.' || h || '.html' END AS id FROM (SELECT c_custkey, lower(hex(c_custkey * 2000)) AS h FROM customer)")
+def hex_ids(read):
+    url = F.concat(F.lit("https://x.example/a."), F.lower(F.hex(F.col("c_custkey") * 2000)), F.lit(".html"))
+    return read("customer").select("c_custkey", postings.hex_id(url).alias("id"))
+
+
+@query("""SELECT lang, count(*) AS n FROM documents WHERE coalesce(regexp_matches(text, '(?i)licen[sc]e'), false) OR coalesce(regexp_matches(source, 'src[01]'), false) GROUP BY 1""")
+def domain_filter(read):
+    kept = read("documents").where(postings.in_domain("(?i)licen[sc]e", "text") | postings.in_domain("src[01]", "source"))
+    return kept.groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, strftime(CASE WHEN o_orderstatus <> 'O' THEN o_orderdate::DATE ELSE DATE '2026-06-16' END, '%Y-%m-%d') AS effective_date,
+CASE WHEN o_orderstatus <> 'O' THEN 'posted' ELSE 'first_seen' END AS date_source FROM orders""")
+def effective_date(read):
+    posted = F.when(F.col("o_orderstatus") != "O", F.to_date("o_orderdate"))
+    rows = cdc.effective_date(read("orders").select("o_orderkey", posted.alias("posted_date"), F.lit("2026-06-16").cast("date").alias("first_seen_date")))
+    return rows.select("o_orderkey", F.date_format("effective_date", "yyyy-MM-dd").alias("effective_date"), "date_source")
+
+
+@query("""SELECT p_partkey, CASE WHEN p_name IN ('red widget', 'small ring') THEN upper(replace(p_name, ' ', '_')) WHEN p_name = 'blue ring' THEN 'SKY_RING' END AS code FROM part""")
+def coerced_codes(read):
+    names = {"Red widget": "RED_WIDGET", "Small ring": "SMALL_RING", "Blue ring": "SKY_RING"}
+    return read("part").select("p_partkey", T.coerce_code(F.col("p_name"), names).alias("code"))
+
+
+@query("""SELECT ord, o_orderpriority, count(*) AS n FROM orders JOIN (VALUES (1, '5-LOW'), (2, '3-MEDIUM'), (3, '1-URGENT'), (4, '0-NONE')) AS v(ord, p) ON o_orderpriority = p GROUP BY 1, 2""")
+def ordered_categories(read):
+    rows = A.ordered(read("orders"), "o_orderpriority", ["5-LOW", "3-MEDIUM", "1-URGENT", "0-NONE"])
+    return rows.groupBy("ord", "o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT lang_tag, count(*) AS n FROM (SELECT CASE WHEN coalesce(round(length(regexp_replace(lower(text), '[^éèêçàñóíáúäöüß]', '', 'g'))::DOUBLE
+/ nullif(length(regexp_replace(lower(text), '\PL', '', 'g')), 0), 4), 0) >= 0.06 THEN 'marked' ELSE 'plain' END AS lang_tag FROM documents) GROUP BY 1""")
+def language_tag(read):
+    tag = F.when(T.letter_ratio(F.col("text"), "éèêçàñóíáúäöüß") >= 0.06, "marked").otherwise("plain")
+    return read("documents").groupBy(tag.alias("lang_tag")).agg(F.count("*").alias("n"))

@@ -113,3 +113,9 @@ def catalog_text(df: DataFrame, by: str, name: str, order: str, last: str = "OTH
     """Names of a group joined by ``; `` in order, ``last`` at the end."""
     rows = F.array_sort(F.collect_list(F.struct((F.col(name) == last).alias("end"), F.col(order).alias("at"), F.col(name).alias("name"))))
     return df.groupBy(by).agg(F.concat_ws("; ", F.transform(rows, lambda x: x["name"])).alias("names"))
+
+
+def ordered(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows of the listed values with their place in the list (ord); the other rows go."""
+    place = F.array_position(F.array(*map(F.lit, values)), F.col(column))
+    return df.withColumn("ord", place.cast("int")).where("ord > 0")

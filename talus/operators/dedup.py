@@ -44,29 +44,33 @@ def fuzzy(df: DataFrame, key: str, block: str, city: str, title: str, order: lis
     (null equals null) whose title is alike; duplicates never become survivors.
 
     Only rows of one block and one city can match, so both together are the group; rows without a
-    block pass by.  Equal titles of a group are decided once.
+    block pass by.  Equal titles of a group are decided once, by their first row: a group's task
+    sees each distinct title once, however many rows hold it.
     """
 
     def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         kept: list[tuple[str, str]] = []
-        same: dict[str, str | None] = {}
         out = []
-        for k, t in zip(pdf["__key"], pdf["__title"]):
-            if t not in same:
-                hit = next((i for i, s in kept if token_set_ratio(t, s) >= threshold), None)
-                same[t] = hit if hit is not None else (k if t.split() else None)
-                if hit is None:
-                    kept.append((k, t))
-                    out.append(None)
-                    continue
-            out.append(same[t])
-        return pd.DataFrame({"__key": pdf["__key"], "__dup": out})
+        pdf = pdf.sort_values(["__place", "__first"], kind="stable")
+        for k, t in zip(pdf["__first"], pdf["__title"]):
+            hit = next((i for i, s in kept if token_set_ratio(t, s) >= threshold), None)
+            if hit is None:
+                kept.append((k, t))
+            out.append(hit)
+        return pdf[["__block", "__city", "__title", "__first"]].assign(__hit=out)
 
     place = F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("9999")) for c in order])
     rows = df.where((F.col(block) != "") & F.col(block).isNotNull()).select(F.col(key).alias("__key"), F.col(block).alias("__block"), F.col(city).alias("__city"), F.coalesce(title, F.lit("")).alias("__title"), place.alias("__order"))
-    kind = dict(df.dtypes)[key]
-    found = rows.groupBy("__block", "__city").applyInPandas(lambda pdf: greedy(pdf.sort_values("__order", kind="stable")), f"__key {kind}, __dup {kind}")
-    return df.join(found.where("__dup is not null"), F.col(key) == F.col("__key"), "left").withColumn("is_duplicate_of", F.col("__dup")).drop("__key", "__dup")
+    rows = rows.where(F.rlike("__title", F.lit(r"(?U)[^\s\x1c-\x1f]")))  # a title without words is like nothing
+    kinds = {c: t for c, t in rows.dtypes}
+    first = rows.groupBy("__block", "__city", "__title").agg(F.min(F.struct("__order", "__key")).alias("f")).select("__block", "__city", "__title", F.col("f.__order").alias("__place"), F.col("f.__key").alias("__first"))
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("__block", "__city", "__title")) + f", __first {kinds['__key']}, __hit {kinds['__key']}"
+    said = first.groupBy("__block", "__city").applyInPandas(greedy, schema).alias("s")
+    r = rows.alias("r")
+    on = (F.col("r.__block") == F.col("s.__block")) & F.col("r.__city").eqNullSafe(F.col("s.__city")) & (F.col("r.__title") == F.col("s.__title"))
+    dup = F.coalesce("s.__hit", F.when(F.col("r.__key") != F.col("s.__first"), F.col("s.__first")))
+    found = r.join(said, on).select(F.col("r.__key").alias("__key"), dup.alias("__dup")).where("__dup is not null")
+    return df.join(found, F.col(key) == F.col("__key"), "left").withColumn("is_duplicate_of", F.col("__dup")).drop("__key", "__dup")
 
 
 def representatives(df: DataFrame, content: str, key: str) -> DataFrame:

@@ -69,6 +69,21 @@ def test_fuzzy_is_greedy_and_blocked(spark):
     assert out == {"1": None, "2": "1", "3": None, "4": None, "5": None}
 
 
+def test_fuzzy_against_row_by_row(spark):
+    r = random.Random(5)
+    words = ["data", "analyst", "senior", "lead", "engineer", "bi"]
+    titles = ["", " ", "\t", None] + [" ".join(r.sample(words, r.randint(1, 4))) for _ in range(60)]
+    rows = [(f"{i:03d}", r.choice(["k", "m", None]), r.choice(["x", None]), r.choice(titles)) for i in range(200)]
+    kept, want = [], {}
+    for i, block, city, title in rows:
+        hit = next((k for k, b, c, t in kept if (b, c) == (block, city) and dedup.token_set_ratio(title or "", t) >= 90), None) if block else None
+        want[i] = hit
+        if block and hit is None:
+            kept.append((i, block, city, title or ""))
+    df = spark.createDataFrame(rows, "id string, block string, city string, title string")
+    assert {x["id"]: x["is_duplicate_of"] for x in dedup.fuzzy(df, "id", "block", "city", "title", ["id"]).collect()} == want
+
+
 def test_change_tracking_by_step_equals_replay(spark):
     r = random.Random(3)
     master = spark.createDataFrame([], "source string, id string, title string, posted_date date, first_seen_date date, last_seen_date date, is_active boolean, removed_date date, miss_streak int, last_streak_run date")
