@@ -23,7 +23,8 @@ from talus.llm.common import batches, text_of
 
 P = np.uint64(2**31 - 1)
 BASES = (1_000_003, 786_433_511)
-WINDOW = 24
+#: Code points of a span: few enough that texts of some words hold several, enough that unrelated texts share few.
+WINDOW = 9
 SKETCH = 64
 #: Text of a partition, about, in code points.
 PART_CHARS = 6_000_000
