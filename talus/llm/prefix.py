@@ -190,7 +190,7 @@ def in_order(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     both = rows.select("range", F.lit(0).alias("guest"), "key", "doc_id", "text").unionByName(
         guests.select(F.col("__before").alias("range"), F.lit(1).alias("guest"), F.lit(0).cast("long").alias("key"), F.lit(None).cast("long").alias("doc_id"), "text")
     )
-    return both.repartition(max(1, len(order)), "range").sortWithinPartitions("range", "guest", "key", "text").select("range", "guest", "doc_id", "text")
+    return both.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", "guest", "key", "text").select("range", "guest", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
