@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from talus.llm import bpe, exact, html, language, licenses, packing, prefix, secrets, simhash, urls
+from talus.llm import bpe, exact, html, language, licenses, packing, prefix, secrets, similar, simhash, urls
 from talus.llm.common import PARALLELISM, settled
 from talus.llm.queries import oracle_sql, vocabulary
 
@@ -263,6 +263,56 @@ def test_simhash(spark, texts):
     assert simhash.near_copies(df.limit(0)).count() == 0
 
 
+def planted():
+    r = random.Random(11)
+    word = lambda: r.choice(["alpha", "Beta", "gamma", "delta", "eps"]) + str(r.randrange(400))
+    rows = [(i, " ".join(word() for _ in range(r.choice([6, 30, 120, 900])))) for i in range(40)]
+    for i in range(160):  # edits of a few words, so that similarities lie on both sides of 0.8
+        words = r.choice(rows)[1].split(" ")
+        for _ in range(r.randrange(1, 2 + len(words) // 40)):
+            words[r.randrange(len(words))] = word()
+        rows.append((100 + i, " ".join(words)))
+    base = [word() for _ in range(200)]
+    for i in range(90):  # a group of more than a key's BUCKET
+        rows.append((1000 + i, " ".join(base[:-1] + [f"end{i}"])))
+    return rows + [(5, rows[0][1].upper()), (2000, None), (2001, ""), (2002, "one two"), (2003, "One  two"), (None, rows[1][1]), (None, None)]
+
+
+def jaccard_classes(rows):
+    def shingled(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4)))
+
+    sets_, root = [shingled(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(range(len(rows)), 2):
+        if sets_[a] == sets_[b] or 10 * len(sets_[a] & sets_[b]) >= 8 * len(sets_[a] | sets_[b]):
+            root[find(a)] = find(b)
+    return [find(x) for x in range(len(rows))]
+
+
+@pytest.mark.parametrize("stage", ["near_dedup", "small buckets"])
+def test_pipeline_near_dedup(spark, monkeypatch, stage):
+    import corpus_pipeline
+
+    if stage != "near_dedup":
+        monkeypatch.setattr(similar.links, "__defaults__", (4,))
+    rows = planted()
+    classes = jaccard_classes(rows)
+    order = lambda x: (x[0] is None, x[0] or 0)
+    want = Counter(min((rows[x] for x in range(len(rows)) if classes[x] == c), key=order)[0] for c in set(classes))
+    df = frame(spark, rows)
+    kept = corpus_pipeline.near_dedup(spark, df, "")
+    assert kept.columns == df.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == want
+    assert corpus_pipeline.near_dedup(spark, df.limit(0), "").count() == 0
+
+
 @pytest.mark.parametrize("bucket", [0, 4, 10**6])
 def test_links_by_pairs_and_stars(spark, bucket):
     r = random.Random(7)
