@@ -145,6 +145,24 @@ def test_license_scan(spark, texts):
     assert got == {i: (",".join(sorted(a)), n, round(d, 4)) for i, (a, n, d) in want.items()} and got
 
 
+def test_license_windows(spark):
+    wrap = lambda t, n: "\n".join(" ".join(t.split()[i : i + n]) for i in range(0, len(t.split()), n))
+    notices = dict(reversed(licenses.NOTICES))
+    rows = [
+        (1, "x\n\n" + wrap(notices["MIT"], 11) + "\n\nTHE SOFTWARE IS PROVIDED AS IS"),
+        (2, "This work is licensed under the GNU General\nPublic License, version 3."),
+        (3, "Anyone may know that this file, as ever, is Released under the MIT License and so on for many more words"),
+        (4, wrap(notices["GPL-3.0"], 9)),
+        (5, " * ".join(wrap(notices["BSD-3-Clause"], 8).splitlines(True))),
+        (6, "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+        (7, "Licensed under the\nApache License, Version 2.0.\n\nsome other words\n\nLicensed under the\nApache License, Version 2.0."),
+        (8, "The public terms of the work and the copy of this software are under no notice at all."),
+        (9, "Released under the MIT License."),
+    ]
+    got = {r["doc_id"]: (r["licenses"], r["n_notices"]) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == {1: ("MIT", 1), 2: ("GPL-3.0", 1), 3: ("MIT", 1), 4: ("GPL-3.0", 1), 5: ("BSD-3-Clause", 1), 6: ("CC-BY-4.0", 1), 7: ("Apache-2.0", 2), 9: ("MIT", 1)}
+
+
 def test_packing(spark, texts):
     whole = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
     rows = packing.pack(frame(spark, texts), vocabulary("byte_bpe_50k.json")).collect()
