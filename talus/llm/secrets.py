@@ -1,7 +1,7 @@
 """Secret scan by a trigram inverted index (native: DataFrame functions only).
 
-Each rule is a regular expression with a Boolean trigram query derived from its
-mandatory literals: an OR over literal variants of an AND over the variant's
+Each rule is a regular expression with a Boolean trigram query derived from mandatory
+literals, which are given by hand and checked against the expression: an OR over literal variants of an AND over the variant's
 trigrams.  The index maps (trigram, segment) to a posting list of document ids,
 for the trigrams that the rules ask for; lists are intersected and united segment
 by segment, and the surviving documents alone are verified with the expression.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,29 @@ SEGMENT = 2048
 WORKING = "`__mask`"
 
 
+def required(pattern: str) -> list[str]:
+    """What each way through ``pattern`` spells, lower-cased; \\0 for what is no fixed character."""
+
+    def ways(items) -> list[str]:
+        out = [""]
+        for op, arg in items:
+            name, new = str(op), ["\0"]
+            if name == "LITERAL":
+                new = [chr(arg).lower()]
+            elif name == "IN" and len(arg) <= 8 and all(str(k) == "LITERAL" for k, _ in arg):
+                new = sorted({chr(v).lower() for _, v in arg})
+            elif name == "SUBPATTERN":
+                new = ways(arg[-1])
+            elif name == "BRANCH":
+                new = [w for x in arg[1] for w in ways(x)]
+            elif name == "MAX_REPEAT" and tuple(arg[:2]) == (0, 1):
+                new = ["", *ways(arg[2])]
+            out = [a + b for a in out for b in new]
+        return out
+
+    return sorted(set(ways(_parser.parse(pattern))))
+
+
 @dataclass(frozen=True)
 class Rule:
     """``literals``: lower-cased strings of which every match holds one (empty: scan fully).
@@ -36,6 +60,11 @@ class Rule:
     group: int = 0
     least: int = 1
 
+    def __post_init__(self):
+        for x in required(self.pattern) if self.literals else ():
+            if not any(w in x for w in self.literals):
+                raise ValueError(f"{self.kind}: a match may hold none of the literals ({x!r})")
+
     def query(self) -> list[list[str]]:
         """The trigram query: alternatives, each a list of trigrams that must all occur."""
         found = [sorted({w[i : i + 3] for i in range(len(w) - 2)}) for w in self.literals]

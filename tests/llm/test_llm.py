@@ -63,6 +63,15 @@ def test_secret_scan(spark, texts):
     assert secrets.scan(df.limit(0)).count() == 0
 
 
+def test_literals_are_required():
+    for rule in secrets.RULES:
+        assert not rule.literals or all(any(w in x for w in rule.literals) for x in secrets.required(rule.pattern))
+    for pattern, literals in (("tok(en|ID)=[a-z]+", ("token",)), ("key(name)?=x", ("keyname",)), ("abc*d", ("abcd",)), ("[a-f]{3}xyz", ("axyz",))):
+        with pytest.raises(ValueError):
+            secrets.Rule("odd", pattern, literals)
+    assert secrets.Rule("even", "tok(en|ID)=[a-z]+", ("token=", "tokid=")).query()
+
+
 def test_html(spark):
     trees = html.model()
     good = 0
