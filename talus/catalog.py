@@ -11,6 +11,7 @@ from talus.functions import dates, rules
 from talus.functions import text as T
 from talus.operators import aggregates as A
 from talus.operators import cascade, cdc, dedup, vectors
+from talus.plans import silver
 from talus.sources import postings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,7 +130,7 @@ def stratified_sample(read):
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, grouping_id(l_returnflag, l_linestatus) AS level FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)""")
 def rollup_levels(read):
-    return read("lineitem").rollup("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+    return A.levels(read("lineitem"), "l_returnflag", "l_linestatus")
 
 
 @query("""SELECT r_name, string_agg(n_name, '; ' ORDER BY n_name = 'CHINA', n_nationkey) AS names FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
@@ -146,9 +147,31 @@ def share_preview(read):
 @query("""SELECT count(*) FILTER (WHERE n >= 2) AS multi, count(*) AS n FROM (SELECT l_orderkey, count(DISTINCT p_brand) FILTER (WHERE p_brand IN
 ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21', 'Brand#22', 'Brand#23')) AS n FROM (""" + _BASKETS + ") GROUP BY 1)")
 def core_threshold(read):
-    core = F.array(*[F.lit(f"Brand#{i}{j}") for i in (1, 2) for j in (1, 2, 3)])
-    lists = _baskets(read).groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("all"))
-    return lists.agg(F.count_if(F.size(F.array_intersect("all", core)) >= 2).alias("multi"), F.count("*").alias("n"))
+    return A.core_counts(_baskets(read), "l_orderkey", "p_brand", [f"Brand#{i}{j}" for i in (1, 2) for j in (1, 2, 3)])
+
+
+@query("""SELECT facet, value, count(*) AS n FROM (SELECT unnest(['lang', 'source']) AS facet, unnest([lang, source]) AS value FROM documents) GROUP BY 1, 2
+UNION ALL SELECT 'rows', '', count(*) FROM documents UNION ALL SELECT 'active', '', count(*) FILTER (WHERE lang <> 'en') FROM documents""")
+def corpus_overview(read):
+    return A.overview(read("documents").select("lang", "source", (F.col("lang") != "en").alias("active")), "active", "lang", "source")
+
+
+@query(r"""SELECT count(*) AS n, count(*) FILTER (WHERE regexp_matches(text, 'MIT|BSD')) AS plain, count(*) FILTER (WHERE regexp_matches(text, 'GNU|Creative|CC')) AS share_alike,
+count(*) FILTER (WHERE NOT regexp_matches(text, 'MIT|BSD') AND NOT regexp_matches(text, 'GNU|Creative|CC')) AS neither FROM documents WHERE regexp_matches(text, '(?i)licen[sc]e')""")
+def branch_evidence(read):
+    return A.evidence(read("documents"), "text", "(?i)licen[sc]e", plain="MIT|BSD", share_alike="GNU|Creative|CC")
+
+
+@query("""WITH m AS (SELECT c_nationkey, c_mktsegment, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, c_mktsegment) AS rn FROM customer GROUP BY 1, 2)
+SELECT c_nationkey, count(*) AS n, round(avg(c_custkey), 3) AS mean_c_custkey, any_value(m.c_mktsegment) AS top_c_mktsegment FROM customer JOIN m USING (c_nationkey) WHERE rn = 1 GROUP BY 1""")
+def group_profile(read):
+    return A.profile(read("customer"), "c_nationkey", ["c_mktsegment"], "c_custkey")
+
+
+@query("""SELECT l_partkey, l_orderkey FROM (SELECT l_partkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber, l_orderkey) AS rn FROM lineitem WHERE l_linenumber <= 3)
+WHERE rn = 1 ORDER BY l_linenumber, l_orderkey LIMIT 25""")
+def bounded_sample(read):
+    return A.first_pages(read("lineitem"), "l_partkey", 25, "l_linenumber", ("l_linenumber", "l_orderkey")).select("l_partkey", "l_orderkey")
 
 
 @query(r"""SELECT term, count(*) AS n FROM (
@@ -246,6 +269,15 @@ def hash_fan_out(read):
     return dedup.fan_out(rows, once, "h", ["first_id"]).select("doc_id", "first_id")
 
 
+@query("""SELECT d.doc_id, CASE WHEN d.source = 'src0' AND l.quality = 1 THEN 'good' WHEN d.source = 'src0' THEN '' ELSE d.lang END AS lang,
+CASE WHEN l.doc_id IS NOT NULL THEN l.toxic::VARCHAR ELSE 'old' END AS toxic, 'kept' AS other FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def fill_details(read):
+    now = read("documents").select("doc_id", F.when(F.col("source") == "src0", "").otherwise(F.col("lang")).alias("lang"), F.create_map(F.lit("toxic"), F.lit("old"), F.lit("other"), F.lit("kept")).alias("extra"))
+    details = read("labels").select("doc_id", F.when(F.col("quality") == 1, "good").alias("lang"), "toxic")
+    out = cdc.fill_details(now, details, "doc_id", ["lang"], "extra", ["toxic"])
+    return out.select("doc_id", "lang", F.col("extra")["toxic"].alias("toxic"), F.col("extra")["other"].alias("other"))
+
+
 # --- text ------------------------------------------------------------------------------------
 
 _ROLES = [("A", ["almond", "antique azure"]), ("B", ["blue", "burnished"]), ("C", ["chocolate", "red", "green"])]
@@ -304,10 +336,10 @@ def letter_ratio(read):
     return read("documents").select("doc_id", T.letter_ratio(F.col("text"), "éèêçàñóíáúäöüß").alias("ratio"))
 
 
-@query(r"""SELECT doc_id, md5(left(array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(lower(x), 'licen[sc]e|token')), chr(10)), 4000)) AS kept FROM documents""")
+@query(r"""SELECT doc_id, md5(trim(regexp_replace(lang || ' Skills: ' || source || ', x ' || left(trim(regexp_replace(array_to_string(list_filter(string_split(text, chr(10)),
+lambda x: NOT regexp_matches(lower(x), 'licen[sc]e|token')), ' '), '\s+', ' ', 'g')), 4000), '\s+', ' ', 'g'))) AS kept FROM documents""")
 def line_filter(read):
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.trim(x) != "") & ~F.lower(x).rlike("licen[sc]e|token"))
-    return read("documents").select("doc_id", F.md5(F.substring(F.concat_ws("\n", lines), 1, 4000)).alias("kept"))
+    return read("documents").select("doc_id", F.md5(T.view(F.col("lang"), F.array("source", F.lit("x")), F.col("text"), "licen[sc]e|token")).alias("kept"))
 
 
 @query("""SELECT o_orderkey, strftime(CASE o_orderkey % 4 WHEN 3 THEN DATE '2026-06-16' - (o_orderkey % 5)::INT WHEN 2 THEN DATE '2026-06-16' ELSE o_orderdate::DATE END, '%Y-%m-%d') AS posted FROM orders""")
@@ -321,6 +353,18 @@ def date_parse(read):
     return read("orders").select("o_orderkey", F.date_format(dates.posted_date(raw, F.lit("2026-06-16").cast("date")), "yyyy-MM-dd").alias("posted"))
 
 
+_SOURCES = ["itviec", "topdev", "careerviet", "glints", "else"]
+_RAW = ["3 days ago", "05-03-2026", "Hạn nộp: 30-09-2026 Cập nhật: 09-06-2026", "2026-06-05T07:32:34.028Z", "2026-06-05Tgarbage"]
+
+
+@query("""SELECT c_custkey, CASE WHEN s = 0 AND r = 0 THEN '2026-06-13' WHEN s = 1 AND r = 1 THEN '2026-03-05' WHEN s = 2 AND r = 2 THEN '2026-06-09' WHEN s >= 3 AND r = 3 THEN '2026-06-05' END AS posted
+FROM (SELECT c_custkey, c_custkey % 5 AS s, c_custkey // 5 % 5 AS r FROM customer)""")
+def date_by_source(read):
+    pick = lambda values, at: F.get(F.array(*map(F.lit, values)), at.cast("int"))
+    source, raw = pick(_SOURCES, F.col("c_custkey") % 5), pick(_RAW, F.floor(F.col("c_custkey") / 5) % 5)
+    return read("customer").select("c_custkey", F.date_format(dates.posted_date(raw, F.lit("2026-06-16").cast("date"), source), "yyyy-MM-dd").alias("posted"))
+
+
 @query(r"""SELECT page_id, md5(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]*>', ' ', 'g'),
 '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))) AS body FROM pages""")
 def html_text(read):
@@ -329,12 +373,13 @@ def html_text(read):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_extract(read):
-    return read("events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    rows = read("events").select("event_id", F.concat(F.lit('{"items": ['), "props", F.lit("]}")).alias("payload"))
+    return postings.json_items(rows, "struct<k:string>").select("event_id", "k")
 
 
 @query("""SELECT o_orderkey, CASE WHEN regexp_matches(o_orderpriority, '(?i)urgent|high') THEN true ELSE false END AS hot FROM orders""")
 def regex_filter(read):
-    return read("orders").select("o_orderkey", F.coalesce(F.col("o_orderpriority").rlike("(?i)urgent|high"), F.lit(False)).alias("hot"))
+    return read("orders").select("o_orderkey", postings.in_domain("(?i)urgent|high", "o_orderpriority").alias("hot"))
 
 
 @query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(lower(text), 'der ') THEN 'DE' END, CASE WHEN contains(lower(text), 'les ') OR contains(lower(text), 'des ') THEN 'FR' END], lambda x: x IS NOT NULL), ',') AS codes FROM documents""")
@@ -342,10 +387,11 @@ def substring_codes(read):
     return read("documents").select("doc_id", F.array_join(T.codes_of(F.lower("text"), [("DE", ["der "]), ("FR", ["les ", "des "])]), ",").alias("codes"))
 
 
-@query("""SELECT page_id, CASE WHEN h = 'blog' THEN h END AS kind, rest FROM (SELECT page_id, split_part(split_part(url, '//', 2), '.', 1) AS h, length(url) AS rest FROM pages)""")
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN 'Remote' WHEN n_nationkey % 3 = 1 THEN 'Hybrid' END AS kind, n_name || ' Remote' AS rest FROM nation""")
 def prefix_split(read):
-    host = F.split_part(F.split_part("url", F.lit("//"), F.lit(2)), F.lit("."), F.lit(1))
-    return read("pages").select("page_id", F.when(host == "blog", host).alias("kind"), F.length("url").cast("long").alias("rest"))
+    model = F.when(F.col("n_nationkey") % 3 == 0, "Remote ").when(F.col("n_nationkey") % 3 == 1, "Hybrid").otherwise("")
+    kind, rest = postings.work_model(F.concat(model, "n_name", F.lit(" Remote")))
+    return read("nation").select("n_nationkey", kind.alias("kind"), rest.alias("rest"))
 
 
 # --- vectors, cascade, dedup -----------------------------------------------------------------
@@ -369,19 +415,53 @@ def cascade_mix(read):
     return out.groupBy(F.coalesce("method", F.lit("open")).alias("method")).agg(F.count("*").alias("n"))
 
 
-@query()
-def cascade_labels(read):
+_LABELS = """SELECT doc_id::VARCHAR AS job_id, code AS job_family, CASE code WHEN 'LICENSED' THEN 0.9 WHEN 'SHORT' THEN 0.9 WHEN 'LONG' THEN 0.7 WHEN 'MID' THEN 0.5 ELSE 0.0 END::DOUBLE AS confidence_score,
+CASE code WHEN 'LICENSED' THEN 'rule' WHEN 'SHORT' THEN 'embedding' WHEN 'OTHER' THEN 'failed' ELSE 'llm:stub' END AS labeling_method,
+CASE code WHEN 'LICENSED' THEN 'title alias ''license''' WHEN 'SHORT' THEN 'embed sim 0.90 (margin 0.10)' WHEN 'LONG' THEN 'long' WHEN 'MID' THEN 'middling' ELSE 'stub failed' END AS reasoning,
+CASE WHEN code IN ('MID', 'OTHER') THEN 'manual_review' ELSE 'resolved' END AS review_status, CASE code WHEN 'LONG' THEN 'E' WHEN 'MID' THEN 'E' WHEN 'OTHER' THEN 'OTHER' ELSE 'D' END AS domain FROM
+(SELECT doc_id, CASE WHEN """ + _word("lower(coalesce(text, ''))", ["license"]) + """ THEN 'LICENSED' WHEN length(text) < 300 THEN 'SHORT' WHEN length(text) > 1000 THEN 'LONG' WHEN length(text) > 500 THEN 'MID' ELSE 'OTHER' END AS code FROM documents)"""
+
+
+def _labels(read):
     docs = read("documents").select(F.col("doc_id").cast("string").alias("job_id"), "text", T.content_hash(F.col("text")).alias("content_hash"))
-    rule = T.longest_alias(F.lower("text"), [("LICENSED", "license")], {"license"})["code"]
-    rows = cascade.tiers(docs, rule, F.lit("SHORT"), F.when(F.length("text") < 300, 0.9).otherwise(0.1), F.lit(0.1))
-    names = docs.sparkSession.createDataFrame([("LICENSED", "D", "S1"), ("SHORT", "D", "S2"), ("LONG", "E", "S3"), ("OTHER", "OTHER", "OTHER")], "code string, domain string, subdomain string")
-    return cascade.label(rows, "content_hash", "text", "job_id", lambda t: ("LONG", 0.7, "long") if len(t) > 1000 else (None, 0.1, "unclear"), "stub", names)
+    found = T.longest_alias(F.lower("text"), [("LICENSED", "license")], {"license"})
+    rows = cascade.tiers(docs, found["code"], F.lit("SHORT"), F.when(F.length("text") < 300, 0.9).otherwise(0.1), F.lit(0.1), found["alias"])
+    names = docs.sparkSession.createDataFrame([("LICENSED", "D", "S1"), ("SHORT", "D", "S2"), ("LONG", "E", "S3"), ("MID", "E", "S4"), ("OTHER", "OTHER", "OTHER")], "code string, domain string, subdomain string")
+    judge = lambda t: ("LONG", 0.7, "long") if len(t) > 1000 else ("MID", 0.5, "middling") if len(t) > 500 else (None, 0.1, "unclear")
+    return cascade.label(rows, "content_hash", "text", "job_id", judge, "stub", names)
 
 
-@query()
+@query(_LABELS)
+def cascade_labels(read):
+    return _labels(read).select("job_id", "job_family", "confidence_score", "labeling_method", "reasoning", "review_status", "domain")
+
+
+@query(f"""SELECT count(*) AS n, 100.0::DOUBLE AS coverage, round_even(100 * avg((review_status = 'manual_review')::INT), 1) AS manual_rate, round_even(100 * avg((job_family = 'OTHER')::INT), 1) AS other_rate,
+NULL::DOUBLE AS agreement, count(*) FILTER (WHERE starts_with(labeling_method, 'llm')) AS n_judged FROM ({_LABELS})""")
 def labeling_kpis(read):
-    rows = cascade_labels(read)
-    return cascade.kpis(rows)
+    return cascade.kpis(_labels(read))
+
+
+@query(f"""SELECT facet, value, count(*) AS n FROM (SELECT unnest(['labeling_method', 'job_family', 'domain', 'confidence']) AS facet, unnest([labeling_method, job_family, CASE WHEN job_family <> 'OTHER' THEN domain END,
+CASE WHEN confidence_score <= 0.5 THEN '<0.5' WHEN confidence_score <= 0.66 THEN '0.5-0.66' WHEN confidence_score <= 0.85 THEN '0.66-0.85' ELSE '0.85-1.0' END]) AS value FROM ({_LABELS})) WHERE value IS NOT NULL GROUP BY 1, 2""")
+def label_distributions(read):
+    return cascade.distributions(_labels(read))
+
+
+@query(f"""WITH l AS ({_LABELS}), f AS (SELECT greatest(1, 40 // count(DISTINCT job_family)) AS per FROM l)
+SELECT job_id, d.lang AS title, job_family, confidence_score, labeling_method, review_status, '' AS human_family FROM (SELECT *, row_number() OVER (PARTITION BY job_family ORDER BY md5('42:' || job_id), job_id) AS rn FROM l) s
+LEFT JOIN (SELECT doc_id::VARCHAR AS job_id, lang FROM documents WHERE source <> 'src0') d USING (job_id) WHERE rn <= (SELECT per FROM f)""")
+def spot_check(read):
+    titles = read("documents").where("source <> 'src0'").select(F.col("doc_id").cast("string").alias("job_id"), F.col("lang").alias("title"))
+    return cascade.spot_check(_labels(read), titles, "job_id", "title")
+
+
+@query("""SELECT content, code, judge FROM (SELECT conv_id AS content, 'C' || (turn % 3) AS code, role AS judge, row_number() OVER (PARTITION BY conv_id
+ORDER BY CASE role WHEN 'assistant' THEN 1 WHEN 'user' THEN 2 ELSE 3 END, role, (turn % 10) / 10.0, 'C' || (turn % 3)) AS rn FROM conversations WHERE turn % 4 <> 0) WHERE rn = 1""")
+def cache_probe(read):
+    torn = F.when(F.col("turn") % 4 != 0, F.concat(F.lit("C"), (F.col("turn") % 3).cast("string")))
+    cache = read("conversations").select(F.col("conv_id").alias("content"), torn.alias("code"), ((F.col("turn") % 10) / 10.0).alias("confidence"), F.col("role").alias("judge"))
+    return cascade.first_answers(cache, "content", ["assistant", "user"]).select("content", "code", "judge")
 
 
 @query()
@@ -391,9 +471,19 @@ def fuzzy_dedup(read):
 
 @query()
 def kmeans_assign(read):
-    vecs = read("embeddings").select("vec_id", "embedding")
-    model, _ = vectors.cluster(vecs, "embedding", [4, 8])
-    return vectors.assign(vecs, "embedding", model).select("vec_id", "cluster_id", "dist_to_centroid")
+    vecs = read("embeddings").select("vec_id", "embedding", "label")
+    scopes = {"all": (F.lit(True), vectors.K_ALL), "other": (F.col("label") >= 5, vectors.K_PART)}
+    return vectors.cluster_scopes(vecs, "vec_id", "embedding", scopes, run_id="kmeans")
+
+
+@query("""WITH c AS (SELECT label, count(*) AS n, sum(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norms FROM embeddings GROUP BY 1),
+v AS (SELECT label, list(v ORDER BY i) AS sums FROM (SELECT label, i, sum(v::DOUBLE) AS v FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY 1, 2) GROUP BY 1),
+d AS (SELECT vec_id, e.label AS own, c.label, (list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]) * n + norms - 2 * list_inner_product(embedding::DOUBLE[], sums)) / CASE WHEN e.label = c.label THEN greatest(n - 1, 1) ELSE n END AS d
+      FROM embeddings e, c JOIN v USING (label))
+SELECT vec_id, round(round((b - a) / greatest(a, b), 4)::DECIMAL(18, 9), 3)::DOUBLE AS silhouette FROM (SELECT vec_id, max(d) FILTER (WHERE own = label) AS a, min(d) FILTER (WHERE own <> label) AS b FROM d GROUP BY 1)""")
+def silhouettes(read):
+    rows = vectors.silhouette_samples(read("embeddings"), "embedding", "label")
+    return rows.select("vec_id", F.round(F.col("silhouette_sample").cast("decimal(18,9)"), 3).cast("double").alias("silhouette"))
 
 
 @query()
@@ -401,12 +491,49 @@ def hashed_embedding(read):
     return vectors.embed(read("benchmark"), "item_id", "text", vectors.hashing_encoder())
 
 
-@query()
+_PLACES = ["Quận 1, Hồ Chí Minh; Hà Nội", "Hải Phòng / TPHCM", "Đà Nẵng", "BINH DUONG", "Thừa  Thiên - Huế", ""]
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 6 WHEN 0 THEN 'Hồ Chí Minh' WHEN 1 THEN 'Hải Phòng' WHEN 3 THEN 'Bình Dương' WHEN 4 THEN 'Huế' END AS place,
+CASE n_nationkey % 6 WHEN 0 THEN 'South' WHEN 1 THEN 'North' WHEN 3 THEN 'South' WHEN 4 THEN 'Central' END AS region FROM nation""")
 def normalised_places(read):
-    rows = read("nation").select("n_nationkey", T.first_place(T.strip_accents(T.norm(F.concat(F.lit("Hải Phòng / TPHCM "), "n_name"))), rules.CITIES).alias("p"))
+    raw = F.concat(F.get(F.array(*map(F.lit, _PLACES)), F.col("n_nationkey") % 6), F.lit(" "), F.lower("n_name"))
+    rows = read("nation").select("n_nationkey", T.first_place(T.strip_accents(T.norm(raw)), rules.CITIES).alias("p"))
     return rows.select("n_nationkey", "p.place", "p.region")
 
 
+def _postings(read) -> DataFrame:
+    """Raw postings made of customers: what each column says follows from the key."""
+    k = F.col("c_custkey")
+    pick = lambda *values: F.get(F.array(*[F.lit(v).cast("string") for v in values]), (k % len(values)).cast("int"))
+    extra = F.to_json(F.struct(pick(None, "Senior", None).alias("seniority_label"), pick("analyst", "boss").alias("position_label"), pick("Tiếng Nhật", None, "x").alias("language_req_raw"), pick("Remote", "At office").alias("work_model")))
+    return read("customer").select(
+        F.lit("s").alias("source"), k.cast("string").alias("source_job_id"), pick("Worker", "WORKÈR (new)", "Intern").alias("title_raw"), F.concat(F.lit("Firm "), F.floor(k / 6).cast("string"), F.lit(" JSC")).alias("company_raw"),
+        F.lit("Hà Nội").alias("location_raw"), F.array(pick("sql", "cobol", "PY", "x")).alias("skills_raw"), pick("Ngân Hàng", "plain", "needs English").alias("description_raw"), extra.alias("extra"), F.lit("2026-01-01").alias("effective_date"), F.lit(True).alias("is_active"),
+    )
+
+
+def _silver(read) -> DataFrame:
+    return silver.normalise(_postings(read), {"sql": "SQL", "py": "Python"}, [("DB", ["sql"]), ("DEV", ["Python"]), ("BOSS", ["Boss"])], [("bank", ["ngân hàng"])])
+
+
+_SILVER = """SELECT 's:' || k AS job_id, CASE WHEN k % 4 = 0 THEN 'DB' WHEN k % 4 = 2 THEN 'DEV' WHEN k % 2 = 1 THEN 'BOSS' ELSE 'OTHER' END AS role_category,
+CASE WHEN k % 3 = 2 THEN 'Intern' WHEN k % 3 = 1 THEN 'Senior' ELSE 'Mid' END AS seniority, CASE k % 3 WHEN 0 THEN 'JP' WHEN 2 THEN 'EN' ELSE '' END AS languages, k % 2 = 0 AS remote,
+CASE k % 3 WHEN 0 THEN 'bank' ELSE 'other' END AS company_type, CASE k % 4 WHEN 1 THEN 'cobol' WHEN 3 THEN 'x' ELSE '' END AS unmapped,
+(SELECT 's:' || min(c2.c_custkey::VARCHAR) FROM customer c2 WHERE c2.c_custkey // 6 = k // 6 AND ((c2.c_custkey % 3 = 2) = (k % 3 = 2))) AS first FROM (SELECT c_custkey AS k FROM customer)"""
+
+
+@query(f"SELECT * EXCLUDE (first), CASE WHEN first <> job_id THEN first END AS is_duplicate_of FROM ({_SILVER})")
+def silver_rows(read):
+    return _silver(read).select("job_id", "role_category", "seniority", F.array_join("language_req", ",").alias("languages"), F.col("remote_flag").alias("remote"), "company_type", F.array_join("unmapped", ",").alias("unmapped"), "is_duplicate_of")
+
+
+@query(f"SELECT company_type, role_category AS job_family, count(*) AS n FROM ({_SILVER}) WHERE first = job_id AND role_category <> 'OTHER' GROUP BY 1, 2")
+def gold_company(read):
+    rows = _silver(read).withColumns({"job_family": F.col("role_category"), "domain": F.lit("d")})
+    return silver.family_gold(rows)["gold_company"]
+
+
 # --- sources ---------------------------------------------------------------------------------
 
 

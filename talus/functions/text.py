@@ -49,10 +49,13 @@ def contains_word(c: Column, literal: str) -> Column:
 
 
 def first_rule(hay: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
-    """The label of the first rule of which any pattern occurs as whole words."""
+    """The label of the first rule of which any pattern, normalised as the text is, occurs as whole words."""
     out = F.lit(default)
     for label, patterns in reversed(rules):
-        any_ = r"(?U)(?<!\w)(?:" + "|".join(map(java, patterns)) + r")(?!\w)"
+        plain = [x for p in patterns if (x := " ".join(p.lower().split()))]
+        if not plain:
+            continue
+        any_ = r"(?U)(?<!\w)(?:" + "|".join(map(java, plain)) + r")(?!\w)"
         out = F.when(hay.rlike(any_), label).otherwise(out)
     return out
 
@@ -73,14 +76,15 @@ def rule_norm(c: Column) -> Column:
 
 def extract_terms(tags: Column, text: Column, aliases: dict[str, str], least: int = 3) -> tuple[Column, Column]:
     """Sorted canonical terms of tags (any alias) and text (aliases of ``least`` letters on, longest
-    first, not inside ASCII words), and the normalised tags that no alias maps."""
+    first, not inside ASCII words), and the tags, as they stand, that no alias maps."""
     table = F.create_map(*[F.lit(x) for kv in sorted(aliases.items()) for x in kv])
     names = sorted((a for a in aliases if len(a) >= least), key=lambda a: (-len(a), a))
     pattern = "(?<![a-z0-9])(" + "|".join(map(java, names)) + ")(?![a-z0-9])"
-    clean = F.filter(F.transform(F.coalesce(tags, F.array().cast("array<string>")), norm), lambda t: t != "")
+    raw = F.coalesce(tags, F.array().cast("array<string>"))
+    clean = F.filter(F.transform(raw, norm), lambda t: t != "")
     hits = F.regexp_extract_all(norm(text), F.lit(pattern), F.lit(1))
     found = F.filter(F.transform(F.concat(clean, hits), lambda t: F.try_element_at(table, t)), lambda t: t.isNotNull())
-    return F.array_sort(F.array_distinct(found)), F.filter(clean, lambda t: ~F.map_contains_key(table, t))
+    return F.array_sort(F.array_distinct(found)), F.filter(raw, lambda t: (norm(t) != "") & ~F.map_contains_key(table, norm(t)))
 
 
 def first_place(hay: Column, places: list[tuple[str, str, list[str]]]) -> Column:
@@ -114,13 +118,14 @@ def clean_company(c: Column, tokens: list[str]) -> Column:
 
 
 def clean_title(c: Column) -> Column:
-    """Bracketed spans go; if nothing is left, the trimmed title."""
+    """Bracketed spans go; if nothing is left, the trimmed title; a blank one is null."""
     bare = F.trim(F.regexp_replace(F.regexp_replace(c, r"[\(\[\{].*?[\)\]\}]", " "), r"(?U)\s+", " "))
-    return F.coalesce(F.nullif(bare, F.lit("")), F.trim(c))
+    return F.coalesce(F.nullif(bare, F.lit("")), F.nullif(F.trim(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), F.lit("")))
 
 
-def letter_ratio(c: Column, letters: str, places: int = 4) -> Column:
-    """Share of the given letters among all letters (0 without letters)."""
+def letter_ratio(c: Column, letters: str, places: int = 4, marked: bool = False) -> Column:
+    """Share of the given letters (``marked``: and of all accented ones) among all letters (0 without letters)."""
+    letters += accents()[0].lower() if marked else ""
     low = F.lower(F.coalesce(c, F.lit("")))
     n = F.length(F.regexp_replace(low, r"\P{L}", ""))
     hit = F.length(F.regexp_replace(low, f"[^{letters}]", ""))
@@ -128,11 +133,13 @@ def letter_ratio(c: Column, letters: str, places: int = 4) -> Column:
 
 
 def view(title: Column, items: Column, body: Column, drop: str, cap: int = 4000) -> Column:
-    """Title, listed items and the body's lines without blank and boilerplate ones, collapsed."""
-    lines = F.filter(F.split(F.coalesce(body, F.lit("")), "\\R|[\\x1c-\\x1e]"), lambda x: (F.trim(x) != "") & ~F.lower(x).rlike(drop))
-    kept = F.substring(F.concat_ws("\n", lines), 1, cap)
+    """Title, listed items and the first ``cap`` characters of the body's lines without blank and
+    boilerplate ones, white space collapsed."""
+    flat = lambda x: F.trim(F.regexp_replace(x, r"(?U)[\s\x1c-\x1f]+", " "))
+    lines = F.filter(F.split(F.coalesce(body, F.lit("")), "\\R|[\\x1c-\\x1e]"), lambda x: (flat(x) != "") & ~F.lower(x).rlike(drop))
+    kept = F.substring(flat(F.concat_ws(" ", lines)), 1, cap)
     listed = F.when(F.size(items) > 0, F.concat(F.lit("Skills: "), F.concat_ws(", ", items)))
-    return F.trim(F.regexp_replace(F.concat_ws("\n", title, listed, kept), r"(?U)\s+", " "))
+    return flat(F.concat_ws(" \n", title, listed, kept))
 
 
 def content_hash(*parts: Column) -> Column:

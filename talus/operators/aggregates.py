@@ -119,3 +119,54 @@ def ordered(df: DataFrame, column: str, values: list) -> DataFrame:
     """Rows of the listed values with their place in the list (ord); the other rows go."""
     place = F.array_position(F.array(*map(F.lit, values)), F.col(column))
     return df.withColumn("ord", place.cast("int")).where("ord > 0")
+
+
+def levels(df: DataFrame, *keys: str) -> DataFrame:
+    """Counts of every prefix of ``keys`` and of all rows; ``level`` is the grouping id."""
+    return df.rollup(*keys).agg(F.count("*").alias("n"), F.grouping_id().alias("level"))
+
+
+def core_counts(df: DataFrame, entity: str, item: str, core: list, least: int = 2) -> DataFrame:
+    """One row: entities with ``least`` or more distinct items of ``core``, and all entities."""
+    held = df.groupBy(entity).agg(F.count_distinct(F.when(F.col(item).isin(core), F.col(item))).alias("held"))
+    return held.agg(F.count_if(F.col("held") >= least).alias("multi"), F.count("*").alias("n"))
+
+
+def facets(df: DataFrame, *columns: str) -> DataFrame:
+    """(facet, value, n): how often each value of each column occurs, nulls left out; all columns in one pass."""
+    each = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(each).alias("x")).select("x.*").na.drop().groupBy("facet", "value").agg(F.count("*").alias("n"))
+
+
+def overview(df: DataFrame, active: str, *columns: str) -> DataFrame:
+    """``facets`` of a corpus, with its rows and its active rows (null counts as no)."""
+    sums = df.agg(F.count("*").alias("rows"), F.count_if(F.coalesce(F.col(active), F.lit(False))).alias("active"))
+    both = sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("facet"), F.lit("").alias("value"), F.col(c).alias("n")) for c in ("rows", "active")])).alias("x")).select("x.*")
+    return both.unionByName(facets(df, *columns))
+
+
+def evidence(df: DataFrame, text: str, scope: str, **kinds: str) -> DataFrame:
+    """One row: texts that match the pattern ``scope``, of these those of each kind's pattern (they may
+    overlap) and ``neither``, those of no kind."""
+    hit = lambda p: F.coalesce(F.col(text).rlike(p), F.lit(False))
+    said = {k: hit(p) for k, p in kinds.items()}
+    none = F.lit(True)
+    for c in said.values():
+        none = none & ~c
+    return df.where(hit(scope)).agg(F.count("*").alias("n"), *[F.count_if(c).alias(k) for k, c in said.items()], F.count_if(none).alias("neither"))
+
+
+def profile(df: DataFrame, by: str, values: list[str], mean: str, places: int = 3) -> DataFrame:
+    """A row for each group: its size, the mode of each of ``values`` and the mean of ``mean``."""
+    out = df.groupBy(by).agg(F.count("*").alias("n"), F.round(F.avg(mean), places).alias(f"mean_{mean}"))
+    for v in values:
+        out = out.join(mode_by(df, [by], v).withColumnRenamed(v, f"top_{v}"), by, "left")
+    return out
+
+
+def first_pages(df: DataFrame, key: str, n: int, page: str = "page", order: tuple[str, ...] = ("page", "pos"), pages: int = 3) -> DataFrame:
+    """The first ``n`` rows of distinct keys from the first ``pages`` pages, in order of appearance
+    (a page is read only while fewer keys are known)."""
+    place = F.struct(*order)
+    firsts = df.where(F.col(page) <= pages).groupBy(key).agg(F.min(place).alias("__at")).orderBy("__at").limit(n)
+    return df.withColumn("__at", place).join(F.broadcast(firsts), [key, "__at"], "left_semi").drop("__at")  # n rows

@@ -101,3 +101,17 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def insert_missing(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New rows of unknown keys are added; known keys keep their row."""
     return old.unionByName(new.join(old.select(key), key, "left_anti"))
+
+
+def fill_details(now: DataFrame, details: DataFrame, key: str, fill: list[str], extra: str, always: list[str]) -> DataFrame:
+    """Rows with details by key: columns of ``fill`` only where blank (and the detail is not), keys of the
+    map ``extra`` named in ``always`` overwritten in every matched row, by null too.  ``details`` has
+    one row a key, with the columns of both lists."""
+    kinds = dict(now.dtypes)
+    blank = lambda c, k: F.col(c).isNull() | ((F.size(c) == 0) if k.startswith("array") else (F.col(c) == ""))
+    d = details.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in (*fill, *always)], F.lit(True).alias("__hit"))
+    j = now.join(d, F.col(key) == F.col("__key"), "left")
+    new = {c: F.when(blank(c, kinds[c]) & ~blank(f"__{c}", kinds[c]), F.col(f"__{c}")).otherwise(F.col(c)) for c in fill}
+    rest = F.map_filter(F.coalesce(extra, F.expr("map()").cast(kinds[extra])), lambda k, _: ~k.isin(always))
+    put = F.map_from_arrays(F.array(*map(F.lit, always)), F.array(*[F.col(f"__{c}").cast("string") for c in always]))
+    return j.withColumns(new | {extra: F.when(F.col("__hit"), F.map_concat(rest, put)).otherwise(F.col(extra))}).select(*now.columns)

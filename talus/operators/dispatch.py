@@ -102,3 +102,21 @@ def dispatch(jobs: list[dict], providers: list[Provider], cache: dict[str, dict]
                 p.free_at = clock() + wait
             queue.append((job, tries + 1))
     return out
+
+
+def retrying(call: Callable[[dict, str], dict], attempts: int = 3, longest: float = 30.0, between: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[dict], dict | None]:
+    """A judge for single jobs: ``call(job, note)`` is tried ``attempts`` times; the note of a later try
+    says what was wrong with the one before.  None if all fail.  It waits a limit out, ``longest``
+    seconds at most."""
+
+    def judge(job: dict) -> dict | None:
+        note = ""
+        for _ in range(attempts):
+            try:
+                return call(job, note)
+            except Exception as e:  # noqa: BLE001 -- any failure is a reason to try again
+                note = f"Prev invalid: {str(e)[:140]}. Return a valid CODE."
+                sleep(min((reset_after(e) if is_rate_limit(e) else between) + 0.5, longest))
+        return None
+
+    return judge

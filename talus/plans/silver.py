@@ -16,20 +16,21 @@ def normalise(jobs: DataFrame, aliases: dict[str, str], roles: list, company_typ
     field = lambda k: F.get_json_object("extra", f"$.{k}")
     filled = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs])
     position, model = filled(field("position_label"), field("role_category_hint")), filled(field("work_model"), field("work_model_raw"))
-    place = T.strip_accents(T.norm(F.col("location_raw")))
+    fold = lambda c: T.strip_accents(T.norm(c))
+    place = fold(F.col("location_raw"))
     skills, unmapped = T.extract_terms(F.col("skills_raw"), F.col("description_raw"), aliases)
     head = T.strip_accents(T.norm(F.concat_ws(" ", "company_raw", F.substring("description_raw", 1, 300))))
     rows = jobs.withColumns({
         "job_id": F.concat_ws(":", "source", "source_job_id"), "title_clean": T.clean_title(F.col("title_raw")), "company": F.trim("company_raw"),
         "company_key": T.clean_company(F.col("company_raw"), R.LEGAL), "skills": skills, "unmapped": unmapped, "__place": T.first_place(place, R.CITIES),
-        "seniority": T.first_rule(T.norm(F.concat_ws(" ", "title_raw", position)), R.SENIORITY, "Mid"),
-        "role_category": T.first_rule(T.norm(F.concat_ws(" ", "title_raw", position)), roles, "OTHER"),
+        "seniority": T.first_rule(T.norm(F.concat_ws(" ", "title_raw", field("seniority_label"))), R.SENIORITY, "Mid"),
+        "role_category": T.first_rule(T.norm(F.concat_ws(" ", "title_raw", position, F.concat_ws(" ", skills))), roles, "OTHER"),
         "remote_flag": T.any_of(T.strip_accents(T.norm(model)), ["remote", "hybrid"]) | T.any_of(place, R.REMOTE),
-        "language_req": T.codes_of(T.strip_accents(T.norm(F.concat_ws(" ", "description_raw", field("language")))), R.LANGUAGES),
+        "language_req": T.codes_of(T.strip_accents(T.norm(F.concat_ws(" ", "description_raw", field("language_req_raw")))), R.LANGUAGES),
         "company_type": T.first_rule(head, [(k, [T_plain(p) for p in ps]) for k, ps in company_types], "other"),
     })
-    rows = rows.withColumns({"city": F.col("__place.place"), "region": F.col("__place.region"), "n_skills": F.size("skills")}).drop("__place")
-    return fuzzy(rows, "job_id", "company_key", "city", "title_clean", ["effective_date", "job_id"])
+    rows = rows.withColumns({"city": F.col("__place.place"), "region": F.col("__place.region"), "n_skills": F.size("skills"), "__folded": fold(F.col("title_clean"))}).drop("__place")
+    return fuzzy(rows, "job_id", "company_key", "city", "__folded", ["effective_date", "job_id"]).drop("__folded")
 
 
 def T_plain(pattern: str) -> str:
@@ -61,7 +62,7 @@ def family_gold(silver: DataFrame) -> dict[str, DataFrame]:
         "gold_jobs": jobs.drop("unmapped"),
         "gold_market_share": A.share(base, "job_id", ["domain", "job_family"]),
         "gold_family_skill": A.share(by_skill, "job_id", ["job_family", "skill"], ["job_family"], base),
-        "gold_company": A.cross(base, "job_id", ["job_family", "company"]),
+        "gold_company": A.cross(base, "job_id", ["company_type", "job_family"]),
         "gold_location": A.cross(base, "job_id", ["job_family", "region", "city"]),
         "gold_seniority": A.cross(base, "job_id", ["job_family", "seniority"]),
         "gold_skill_cooccurrence": A.pairs(by_skill, "job_id", "skill"),

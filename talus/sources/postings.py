@@ -14,8 +14,19 @@ POSTING = "source string, source_job_id string, url string, title_raw string, co
 
 
 def bronze(spark: SparkSession, path: str) -> DataFrame:
-    """JSON Lines by schema; malformed lines are dropped."""
-    return spark.read.schema(POSTING).option("mode", "DROPMALFORMED").json(path)
+    """JSON Lines by schema; malformed lines are left to ``malformed``."""
+    return _lines(spark, path).where("_torn is null").drop("_torn")
+
+
+def malformed(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``bronze`` leaves out, as they stand: none is lost uncounted."""
+    parsed = F.from_json("value", POSTING + ", _torn string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"})
+    return spark.read.text(path).where(F.trim("value") != "").select("value", parsed.alias("p")).where("p._torn is not null").select(F.col("value").alias("line"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.schema(POSTING + ", _torn string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_torn")
+    return reader.json(path)
 
 
 def raw_pages(spark: SparkSession, path: str) -> DataFrame:

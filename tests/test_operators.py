@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from talus.functions import dates, rules
 from talus.functions import text as T
-from talus.operators import cdc, dedup, dispatch
+from talus.operators import cascade, cdc, dedup, dispatch, vectors
 from talus.plans import silver
 from talus.sources import postings
 
@@ -28,6 +28,7 @@ def value(spark, column, schema=None, row=None):
         ("2 days ago", date(2026, 6, 14)),
         ("3 hours ago", date(2026, 6, 16)),
         ("soon", None),
+        ("2026-06-05Tgarbage", None),
         (None, None),
     ],
 )
@@ -148,3 +149,76 @@ def test_dispatch():
     out = dispatch.dispatch(jobs, [dispatch.Provider("bad", limited)], clock=clock, sleep=clock.sleep)
     assert {x["method"] for x in out} == {"manual_review"}
     assert [dispatch.parse_duration(x) for x in ("250ms", "1m2s", "7", "soon", None)] == [0.25, 62.0, 7.0, 5.0, 5.0]
+
+
+@pytest.mark.parametrize(
+    ("source", "raw", "want"),
+    [
+        ("vietnamworks", "2026-05-28T15:10:39+07:00", date(2026, 5, 28)),
+        ("glints", "2 days ago", None),
+        ("itviec", "Posted 2 days ago", date(2026, 6, 14)),
+        ("itviec", "2026-06-15", None),
+        ("topdev", "12-06-2026", date(2026, 6, 12)),
+        ("topdev", "31-02-2026", None),
+        ("careerviet", "Hạn nộp: 30-09-2026 Cập nhật: 09-06-2026", date(2026, 6, 9)),
+        ("careerviet", "09-06-2026", None),
+        ("other", " 2026-06-15 ", date(2026, 6, 15)),
+        ("itviec", None, None),
+    ],
+)
+def test_posted_date_by_source(spark, source, raw, want):
+    assert value(spark, dates.posted_date(F.lit(raw).cast("string"), F.lit("2026-06-16").cast("date"), F.lit(source))) == want
+
+
+def test_normalisers(spark):
+    _, unmapped = T.extract_terms(F.array(F.lit(" CoBOL "), F.lit("SQL"), F.lit(" ")), F.lit(None).cast("string"), {"sql": "SQL"})
+    assert value(spark, unmapped) == [" CoBOL "]
+    assert value(spark, T.clean_title(F.lit(" \t "))) is None and value(spark, T.clean_title(F.lit("(x)"))) == "(x)"
+    assert value(spark, T.first_rule(T.norm(F.lit("power bi")), [("BI", ["Power  BI", ""])], "-")) == "BI"
+    assert value(spark, T.letter_ratio(F.lit("ạb đc"), "đ", marked=True)) == 0.5
+
+
+def test_label_records(spark):
+    rows = spark.createDataFrame([("1", "a", "x"), ("2", "b", "y"), ("3", "c", "z")], "job_id string, content_hash string, text string")
+    open_ = cascade.tiers(rows, F.when(F.col("text") == "x", "R"), F.lit("V"), F.lit(0.1), F.lit(0.1))
+    cache = spark.createDataFrame([("b", "K2", 0.9, "r", "two"), ("b", "K1", 0.5, "why", "one"), ("c", None, 0.9, "torn", "one")], "content_hash string, code string, confidence double, reasoning string, judge string")
+    names = spark.createDataFrame([("R", "D", "S")], "code string, domain string, subdomain string")
+    got = {r["job_id"]: r for r in cascade.label(open_, "content_hash", "text", "job_id", lambda t: (None, 0.0, ""), "stub", names, cache).collect()}
+    assert len(got) == 3 and [(got[k]["job_family"], got[k]["review_status"], got[k]["labeling_method"]) for k in "123"] == [("R", "resolved", "rule"), ("K1", "manual_review", "llm:one"), ("OTHER", "manual_review", "failed")]
+    assert got["3"]["reasoning"] == "stub failed" and got["1"]["reasoning"] == "title alias 'R'"
+    assert cascade.first_answers(cache, "content_hash", ["two"]).first()["code"] == "K2"
+
+
+def test_silhouettes_and_scopes(spark):
+    r = random.Random(1)
+    pts = [(i, [r.gauss(5 * (i % 3), 0.5), r.gauss(0, 0.5)], i % 3) for i in range(45)] + [(99, [50.0, 50.0], 7)]
+    df = spark.createDataFrame(pts, "id int, v array<double>, cluster_id int")
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    for row in vectors.silhouette_samples(df, "v").collect():
+        own = [far(row["v"], v) for i, v, c in pts if c == row["cluster_id"] and i != row["id"]]
+        rest = min(sum(d) / len(d) for k in {c for _, _, c in pts} - {row["cluster_id"]} if (d := [far(row["v"], v) for _, v, c in pts if c == k]))
+        want = (rest - sum(own) / len(own)) / max(rest, sum(own) / len(own)) if own else 0
+        assert row["silhouette_sample"] == pytest.approx(want, abs=1e-4)
+    scopes = {"all": (F.col("id") < 99, (2, 3, 4)), "few": (F.col("id") < 3, (3, 4))}
+    out = vectors.cluster_scopes(df.drop("cluster_id"), "id", "v", scopes, (1, 2)).collect()
+    assert {r["scope"] for r in out} == {"all"} and {r["k"] for r in out} == {3} and len({(r["id"] % 3, r["cluster_id"]) for r in out}) == 3
+
+
+def test_retries():
+    notes, waits = [], []
+
+    def call(job, note):
+        notes.append(note)
+        if len(notes) < 3:
+            raise ValueError("no such code")
+        return {"job_family": "X"}
+
+    assert dispatch.retrying(call, sleep=waits.append)({}) == {"job_family": "X"} and waits == [2.5, 2.5]
+    assert notes[0] == "" and "no such code" in notes[1]
+    assert dispatch.retrying(lambda j, n: 1 / 0, sleep=waits.append)({}) is None
+
+
+def test_torn_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"source": "s", "source_job_id": "1"}\n{"source": "s", "sour\n')
+    assert [r["source_job_id"] for r in postings.bronze(spark, str(tmp_path)).collect()] == ["1"]
+    assert [r["line"] for r in postings.malformed(spark, str(tmp_path)).collect()] == ['{"source": "s", "sour']
