@@ -12,7 +12,7 @@ from talus.functions import text as T
 from talus.operators import aggregates as A
 from talus.operators import cascade, cdc, dedup, vectors
 from talus.plans import silver
-from talus.sources import postings
+from talus.sources import boards, postings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -601,3 +601,85 @@ def ordered_categories(read):
 def language_tag(read):
     tag = F.when(T.letter_ratio(F.col("text"), "éèêçàñóíáúäöüß") >= 0.06, "marked").otherwise("plain")
     return read("documents").groupBy(tag.alias("lang_tag")).agg(F.count("*").alias("n"))
+
+
+# --- boards ----------------------------------------------------------------------------------
+
+
+def _board(read, path: str, *fields) -> DataFrame:
+    """Pages of ten parts each, as a board answers them."""
+    rows = read("part").select(F.floor(F.col("p_partkey") / 10).alias("page"), F.struct(*fields).alias("j")).groupBy("page").agg(F.array_sort(F.collect_list("j")).alias("all"))
+    body = F.col("all")
+    for name in reversed(path.split(".")):
+        body = F.struct(body.alias(name))
+    return rows.select(F.lit("q").alias("item"), F.col("page").cast("int").alias("page"), F.to_json(body).alias("payload"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, 'A ' || p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN p_brand || ', HN' ELSE 'HN' END AS place, 'Do & see' || CASE WHEN p_partkey % 3 = 0 THEN ' ' || chr(10) || 'need x y' ELSE '' END AS said,
+CASE p_partkey % 4 WHEN 0 THEN '01-02-2026' WHEN 1 THEN '02-02-2026' WHEN 2 THEN '03-02-2026' END AS posted, 'sql' AS skills, 'L' || p_size AS level FROM part""")
+def rest_board(read):
+    k, dated = F.col("p_partkey"), lambda at, d: F.when(F.col("p_partkey") % 4 == at, F.struct(F.lit(d).alias("date")))
+    pages = _board(
+        read, "data", k.alias("id"), F.concat(F.lit(" A  "), "p_name").alias("title"), F.lit("<p>Do &amp; see</p>").alias("content"), F.when(k % 3 == 0, F.array(F.lit("need <b>x</b>"), F.lit("y"))).alias("requirements"),
+        F.struct(F.array(F.when(k % 2 == 0, F.col("p_brand")), F.lit("HN")).alias("address_region_array")).alias("addresses"), F.array(F.lit("sql"), F.lit("")).alias("skills_arr"),
+        dated(0, "01-02-2026").alias("published"), dated(1, "02-02-2026").alias("created"), dated(2, "03-02-2026").alias("refreshed"), F.concat(F.lit("L"), "p_size").alias("job_levels"),
+    )
+    out = boards.rest(pages, "s")
+    return out.select(F.col("source_job_id").alias("id"), F.col("title_raw").alias("title"), F.col("location_raw").alias("place"), F.col("description_raw").alias("said"), F.col("posted_date_raw").alias("posted"), F.array_join("skills_raw", ",").alias("skills"), F.get_json_object("extra", "$.seniority_label").alias("level"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, CASE p_partkey % 3 WHEN 0 THEN 'Hà Nội, Huế' WHEN 1 THEN 'Hue city' ELSE 'at ' || p_brand END AS place, CASE WHEN p_partkey % 2 = 0 THEN 'https://x.example/u' ELSE 'https://b.example/a' || p_partkey || '-jv' END AS url,
+'sql,py' AS skills, 'Anh' AS language FROM part""")
+def search_board(read):
+    k = F.col("p_partkey")
+    place = lambda vi, en: F.struct(F.lit(vi).cast("string").alias("cityNameVI"), F.lit(en).cast("string").alias("cityName"))
+    pages = _board(
+        read, "data", k.alias("jobId"), F.col("p_name").alias("jobTitle"), F.array(F.struct(F.lit("sql").alias("skillName")), F.struct(F.lit(None).cast("string").alias("skillName")), F.struct(F.lit("py").alias("skillName"))).alias("skills"),
+        F.when(k % 3 == 0, F.array(place("Hà Nội", "Hanoi"), place(None, "Huế"))).when(k % 3 == 1, F.array(place("", "Hue city"))).alias("workingLocations"), F.concat(F.lit("at "), "p_brand").alias("address"),
+        F.when(k % 2 == 0, " https://x.example/u").alias("jobUrl"), F.concat(F.lit("a"), k).alias("alias"), F.lit("Anh").alias("languageSelectedVI"),
+    )
+    out = boards.search(pages, "s", "https://b.example")
+    return out.select(F.col("source_job_id").alias("id"), F.col("location_raw").alias("place"), "url", F.array_join("skills_raw", ",").alias("skills"), F.get_json_object("extra", "$.language_req_raw").alias("language"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, coalesce(CASE WHEN p_partkey % 2 = 0 THEN 'Sub' END, 'City') AS place, 'https://b.example/' || p_partkey AS url FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 5 = 0""")
+def graph_board(read):
+    k, named = F.col("p_partkey"), lambda c: F.struct(c.alias("name"))
+    pages = _board(
+        read, "data.searchJobs.jobsInPage", k.alias("id"), F.when(k % 3 == 0, "Senior Data  Engineer").otherwise("Welder").alias("title"), F.when(k % 5 == 0, named(F.lit("Business Intelligence"))).alias("hierarchicalJobCategory"),
+        F.when(k % 2 == 0, named(F.lit("Sub"))).alias("citySubDivision"), named(F.lit("City")).alias("city"),
+    )
+    return boards.graph(pages, "s", "https://b.example", 10).select(F.col("source_job_id").alias("id"), F.col("location_raw").alias("place"), "url")
+
+
+def _cards(read, card) -> DataFrame:
+    rows = read("part").select(F.floor(F.col("p_partkey") / 10).alias("page"), F.struct("p_partkey", card.alias("card")).alias("j")).groupBy("page").agg(F.array_sort(F.collect_list("j")).alias("all"))
+    return rows.select(F.lit("q").alias("item"), F.col("page").cast("int").alias("page"), F.concat(F.lit("<html><body><div class='list'>"), F.array_join(F.transform("all", lambda x: x["card"]), "\n"), F.lit("</div></body></html>")).alias("payload"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, p_name || ' & co' AS title, CASE WHEN p_partkey % 2 = 0 THEN 'Hybrid' END AS model, 'Ha Noi' AS place, 'sql,' || p_brand AS skills, p_partkey % 9 || ' days ago' AS posted FROM part""")
+def listing_board(read):
+    card = F.concat(
+        F.lit('<div class="ipy-2 job-card" data-job-key="'), "p_partkey", F.lit('"><div><h3 class="x"><a href="/j">'), "p_name", F.lit(" &amp; co</a></h3></div><div class='city'>"), F.when(F.col("p_partkey") % 2 == 0, "Hybrid ").otherwise(""), F.lit("Ha Noi</div><a class='itag'>sql</a> <a class='itag'>"),
+        "p_brand", F.lit("</a><span class='small-text'>"), F.col("p_partkey") % 9, F.lit(" days ago</span></div>"),
+    )
+    out = boards.listing(_cards(read, card), "s")
+    return out.select(F.col("source_job_id").alias("id"), F.col("title_raw").alias("title"), F.get_json_object("extra", "$.work_model").alias("model"), F.col("location_raw").alias("place"), F.array_join("skills_raw", ",").alias("skills"), F.col("posted_date_raw").alias("posted"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, p_name AS title, '/j/' || p_partkey AS url, p_brand AS company, CASE WHEN p_partkey % 2 = 0 THEN 'Huế' END AS place FROM part""")
+def card_board(read):
+    kind = F.when(F.floor(F.col("p_partkey") / 10) % 2 == 0, "job-item-2").otherwise("other")
+    card = F.concat(
+        F.lit('<div class="'), kind, F.lit('" data-job-id="'), "p_partkey", F.lit('"><div class="in"><h3 class="title"><a href="/j/'), "p_partkey", F.lit('"> <span>'), "p_name", F.lit('</span></a></h3></div><a class="company">'), "p_brand", F.lit("</a>"),
+        F.when(F.col("p_partkey") % 2 == 0, '<label class="address">Huế</label>').otherwise(""), F.lit("</div>"),
+    )
+    out = boards.cards(_cards(read, card), "s")
+    return out.select(F.col("source_job_id").alias("id"), F.col("title_raw").alias("title"), "url", F.col("company_raw").alias("company"), F.col("location_raw").alias("place"))
+
+
+@query("""SELECT 's' AS source, count(*) AS postings, 100.0::DOUBLE AS described, count(DISTINCT p_partkey // 10) AS pages,
+(SELECT string_agg(c, '; ' ORDER BY n DESC, c) FROM (SELECT p_brand || ', HN' AS c, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, c LIMIT 5)) AS top_locations FROM part""")
+def run_stats(read):
+    pages = _board(read, "data", F.col("p_partkey").alias("id"), F.lit("x").alias("content"), F.struct(F.array("p_brand", F.lit("HN")).alias("address_region_array")).alias("addresses"))
+    return boards.run_stats(boards.rest(pages, "s"))
