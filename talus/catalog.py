@@ -176,10 +176,10 @@ def bounded_sample(read):
 
 @query(r"""SELECT term, count(*) AS n FROM (
   SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM (
-    SELECT list_filter(regexp_extract_all(lower(text), '([a-z]+)', 1), lambda x: length(x) > 1 AND x NOT IN ('the', 'of')) AS w FROM benchmark)) GROUP BY 1""")
+    SELECT list_filter(regexp_extract_all(lower(regexp_extract(html, '<title>(.*?)</title>', 1)), '([a-z]+)', 1), lambda x: length(x) > 1 AND x NOT IN ('the', 'of')) AS w FROM pages)) GROUP BY 1""")
 def ngrams(read):
-    words = T.tokens(F.col("text"), ["the", "of"], "[a-z]+")
-    return read("benchmark").select(F.explode(A.terms(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    words = T.tokens(F.regexp_extract("html", "<title>(.*?)</title>", 1), ["the", "of"], "[a-z]+")
+    return read("pages").select(F.explode(A.terms(words)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT round(100 * avg(CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN a = b THEN 1 ELSE 0 END), 1) AS agreement, count(*) AS n
@@ -488,7 +488,7 @@ def silhouettes(read):
 
 @query()
 def hashed_embedding(read):
-    return vectors.embed(read("benchmark"), "item_id", "text", vectors.hashing_encoder())
+    return vectors.embed(read("documents"), "doc_id", "text", vectors.hashing_encoder())
 
 
 _PLACES = ["Quận 1, Hồ Chí Minh; Hà Nội", "Hải Phòng / TPHCM", "Đà Nẵng", "BINH DUONG", "Thừa  Thiên - Huế", ""]
