@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import date
 
 import pytest
@@ -148,6 +149,9 @@ def test_dispatch():
     assert sorted(x["job_id"] for x in out) == ["0", "1", "2", "3"] and {x["method"] for x in out} == {"llm:good"} and good.used == 2
     out = dispatch.dispatch(jobs, [dispatch.Provider("bad", limited)], clock=clock, sleep=clock.sleep)
     assert {x["method"] for x in out} == {"manual_review"}
+    capped = dispatch.Provider("capped", lambda j: {"job_family": "X"}, cap=1)
+    out = dispatch.dispatch([{"job_id": str(i)} for i in range(3)], [capped], clock=clock, sleep=clock.sleep)
+    assert sorted(x["method"] for x in out) == ["llm:capped", "manual_review", "manual_review"] and capped.used == 1
     assert [dispatch.parse_duration(x) for x in ("250ms", "1m2s", "7", "soon", None)] == [0.25, 62.0, 7.0, 5.0, 5.0]
 
 
@@ -222,3 +226,24 @@ def test_torn_lines_are_kept_apart(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text('{"source": "s", "source_job_id": "1"}\n{"source": "s", "sour\n')
     assert [r["source_job_id"] for r in postings.bronze(spark, str(tmp_path)).collect()] == ["1"]
     assert [r["line"] for r in postings.malformed(spark, str(tmp_path)).collect()] == ['{"source": "s", "sour']
+
+
+def test_dispatch_by_threads():
+    calls = []
+
+    def call(job):
+        calls.append(job["job_id"])
+        time.sleep(0.002)
+        if len(calls) % 7 == 0:
+            raise ValueError("odd answer")
+        return {"job_family": job["content_hash"]}
+
+    providers = [dispatch.Provider(x, call) for x in "abc"]
+    jobs = [{"job_id": str(i), "content_hash": f"h{i % 40}"} for i in range(60)]
+    out = dispatch.dispatch(jobs, providers, workers=dispatch.pool(providers))
+    assert sorted(x["job_id"] for x in out) == sorted(j["job_id"] for j in jobs) and len({x["job_family"] for x in out}) == 40
+    assert sum(p.used for p in providers) == 40 and dispatch.pool(providers) == 6 and dispatch.pool([]) == 3
+    # a job that waits for a call that hangs goes to review
+    slow = dispatch.Provider("slow", lambda j: time.sleep(0.4) or {"job_family": "X"})
+    out = dispatch.dispatch([{"job_id": "1", "content_hash": "h"}, {"job_id": "2", "content_hash": "h"}], [slow], workers=2, idle=0.1)
+    assert sorted((x["job_id"] == "1", x["method"]) for x in out) in ([(False, "manual_review"), (True, "llm:slow")], [(False, "llm:slow"), (True, "manual_review")])
