@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import power_of_two, publish, settled, small, text_of, without_rows
+from talus.llm.common import numbered, power_of_two, publish, small, text_of, without_rows
 
 #: Digests of a shard on average, at most (32 + 8 bytes each, and about 3 bits of levels).
 SHARD = 16_384
@@ -123,10 +123,11 @@ def _shard(shards: int) -> Column:
     return F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % shards
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (32 bytes) and the row's number in the scan, published."""
+def digests(docs: DataFrame, rid: Column | None = None) -> DataFrame:
+    """doc_id, digest (32 bytes) and the row's number (``rid``, or else one given here), published."""
     digest = F.unhex(F.sha2(normalised(text_of()), 256))
-    return publish(docs.select("doc_id", digest.alias("digest"), F.monotonically_increasing_id().alias("rid")), "digests")
+    rid = F.monotonically_increasing_id() if rid is None else rid
+    return publish(docs.select("doc_id", digest.alias("digest"), rid.alias("rid")), "digests")
 
 
 def _first(rows: DataFrame) -> DataFrame:
@@ -150,14 +151,14 @@ def groups(rows: DataFrame, split: int | None = None) -> DataFrame:
     return past.unionByName(looked).groupBy("digest").agg(low, F.sum("n").alias("n")).select("digest", F.col("low.keep").alias("keep"), F.col("low.keep_rid").alias("keep_rid"), "n")
 
 
-def dedup(docs: DataFrame, split: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, split: int | None = None, rid: Column | None = None) -> DataFrame:
     """A row for each document row: doc_id, keep_id, group_size, kept, text_sha256 (and rid).
 
     Null and empty texts are equal.  Null ids come after all others.  Of repeated rows (one
     id, equal texts) exactly one is kept.  The join back is by digest; a digest of very many
     rows is a large partition of that join, which adaptive execution splits.
     """
-    rows = digests(docs)
+    rows = digests(docs, rid)
     found = publish(groups(rows, split).where("n > 1"), "repeats")
     found = small(found.withColumnRenamed("digest", "__digest"))
     out = rows.join(found, F.col("digest") == F.col("__digest"), "left")
@@ -173,6 +174,8 @@ def dedup(docs: DataFrame, split: int | None = None) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``dedup`` drops (rows are found by their place in the scan)."""
-    docs = settled(docs)
-    return without_rows(docs, dedup(docs).where(~F.col("kept")))
+    """``docs`` without the rows that ``dedup`` drops: null and empty texts are equal, null ids come
+    after all others, of repeated rows one stays; an empty table stays empty."""
+    rows = numbered(docs)
+    found = dedup(rows.select("row.doc_id", "row.text", F.col("rid").alias("__rid")), rid=F.col("__rid"))
+    return without_rows(rows, docs.columns, found.where(~F.col("kept")))

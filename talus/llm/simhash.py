@@ -1,22 +1,29 @@
 """SimHash near-dedup with pivot distance tables.
 
-Pivots are reference fingerprints: the zero fingerprint, one for each single bit, and
-spread-out codes.  A fingerprint's distances to the first 65 tell its bits block by block;
-fingerprints that differ in at most 2 bits agree in two of four 16-bit blocks, so two
-blocks' relative distances are the key under which candidates meet.  A pair is discarded
-if its distances to any spread-out pivot differ by more than 2 (triangle inequality), and
-the survivors are verified bit by bit.
-
-Buckets of a key with many fingerprints are not paired: there each fingerprint is written
-to itself and its one-bit neighbours, and those that share a neighbour are linked in a star.
-Two fingerprints differ in at most 2 bits exactly if they share such a neighbour, so no
-link is lost and nothing grows with the square of a bucket.
+Pivots are reference fingerprints: the zero fingerprint, one for each of 32 blocks of two bits
+(ones there, zeros elsewhere), and spread-out codes.  The table holds each distinct fingerprint's
+distances to all of them.
+
+Candidates come from the distances to zero and to the block pivots.  A block's coordinate, half of
+what separates its pivot's distance from zero's, moves by at most the differing bits of the block, so
+at most RADIUS of the 32 coordinates differ between two fingerprints that are linked.  The coordinates
+are dealt to GROUPS groups; those that are linked agree in all but RADIUS of them, so they meet under
+one of the keys that leave out as many.
+
+Candidates are then discarded by the distances to the spread-out pivots, which differ by at most
+RADIUS (triangle inequality): under a key, a distance counts in its own band of RADIUS + 1 and in
+the band that it reaches upwards, so that two that may be linked share a band of each pivot, and
+whoever shares none with another one under any key is out.  Survivors are verified exactly: two
+fingerprints differ in at most two bits if and only if they have a one-bit neighbour (or
+themselves) in common, so each is written to its 65 neighbours and those that meet there are linked
+to the least of them.  Nothing pairs the fingerprints of a key, so nothing grows with the
+square of one, and every key goes the same way, however many hold it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches, publish, settled, small, without_rows
+from talus.llm.common import batches, numbered, publish, release, sliced, small, without_rows
 
-BITS, BLOCK, RADIUS = 64, 16, 2
-#: Fingerprints of one key that are still compared in pairs.
-BUCKET = 32
+#: RADIUS is what one-bit neighbours verify.
+BITS, BLOCK, RADIUS = 64, 2, 2
+BLOCKS, GROUPS = BITS // BLOCK, 6
 #: Pivots of the discarding step.
-SPREAD = 12
+SPREAD = 3
+#: Links that a worker contracts at a time.
+CHUNK = 500_000
 _MASK = (1 << 64) - 1
 
 
@@ -59,80 +68,125 @@ def _hash(x: bytes) -> int:
 
 
 def pivots() -> list[int]:
-    """Zero, the single bits, and SPREAD codes from a fixed generator (signed 64-bit)."""
-    out, x = [0] + [1 << i for i in range(BITS)], 42
+    """Zero, the blocks, and SPREAD codes from a fixed generator (signed 64-bit)."""
+    out, x = [0] + [((1 << BLOCK) - 1) << i * BLOCK for i in range(BLOCKS)], 42
     for _ in range(SPREAD):
         x = (x + 0x9E3779B97F4A7C15) & _MASK
         y = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
         y = ((y ^ (y >> 27)) * 0x94D049BB133111EB) & _MASK
         out.append(y ^ (y >> 31))
-    return [v - (1 << 64) if v >> 63 else v for v in out]
+    return [signed(v) for v in out]
+
+
+def signed(v: int) -> int:
+    return v - (1 << 64) if v >> 63 else v
 
 
 def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (signed 64-bit), rid (the row's number in the scan), published."""
+def fingerprints(docs: DataFrame, rid: Column | None = None) -> DataFrame:
+    """doc_id, fp (signed 64-bit), rid (``rid``, or else the row's number in the scan), published."""
     batches(docs.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in sliced(parts):
             fp = np.array([fingerprint(t) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp), b.column("rid")], ["doc_id", "fp", "rid"])
 
-    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
+    rows = docs.select("doc_id", "text", (F.monotonically_increasing_id() if rid is None else rid).alias("rid"))
     return publish(rows.mapInArrow(run, "doc_id long, fp long, rid long"), "fingerprints")
 
 
 def table(fps: DataFrame) -> DataFrame:
-    """The pivot distance table of the distinct fingerprints: fp, near (to the zero and single-bit
-    pivots, each block's as one relative number) and far (to the spread-out pivots)."""
-    refs = pivots()
-    zero = distance(F.col("fp"), F.lit(refs[0]))
-    # d(x, zero) - d(x, bit i) is 1 if bit i is set, else -1: a block's 16 differences, read as bits
-    bit = lambda i: ((zero - distance(F.col("fp"), F.lit(refs[1 + i])) + 1) / 2).cast("int")
-    blocks = [sum((bit(k * BLOCK + i) * (1 << i) for i in range(BLOCK)), F.lit(0)) for k in range(BITS // BLOCK)]
-    far = F.array(*[distance(F.col("fp"), F.lit(p)).cast("tinyint") for p in refs[1 + BITS :]])
-    return fps.select("fp", F.array(*blocks).alias("near"), far.alias("far"))
-
-
-def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Links (a < b) among distinct fingerprints: each pair of the radius, or a star that
-    connects the same fingerprints where a bucket is large."""
-    keys = F.array(
-        *[F.struct(F.lit(k).cast("tinyint").alias("k"), (F.get("near", F.lit(i)).cast("long") * 65536 + F.get("near", F.lit(j))).alias("v")) for k, (i, j) in enumerate(combinations(range(BITS // BLOCK), 2))]
-    )
-    rows = publish(table(fps).select("fp", "far", F.explode(keys).alias("key")).select("fp", "far", "key.k", "key.v"), "pivot_table")
-    held = publish(rows.groupBy("k", "v").agg(F.count("*").alias("held")).where("held > 1"), "buckets")
-    met = publish(rows.join(held, ["k", "v"]), "met")
-    few = met.where(F.col("held") <= bucket).drop("held")
-    a, b = few.alias("a"), few.alias("b")
-    far = [F.abs(F.get("a.far", F.lit(i)) - F.get("b.far", F.lit(i))) <= RADIUS for i in range(SPREAD)]
-    near = F.col("a.fp") < F.col("b.fp")
-    for x in far:
-        near = near & x
-    on = (F.col("a.k") == F.col("b.k")) & (F.col("a.v") == F.col("b.v")) & near
-    pairs = a.join(b, on).where(distance(F.col("a.fp"), F.col("b.fp")) <= RADIUS).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
-    many = met.where(F.col("held") > bucket).select("fp").distinct()
-    return publish(pairs.unionByName(stars(many)).distinct(), "links")
-
-
-def stars(fps: DataFrame) -> DataFrame:
-    """Links of each fingerprint to the least one that shares a one-bit neighbour (or itself)."""
-    flips = F.transform(F.array(F.lit(0), *[F.lit(v) for v in pivots()[1 : 1 + BITS]]), lambda m: F.col("fp").bitwiseXOR(m))
-    rows = fps.select("fp", F.explode(flips).alias("mid"))
+    """The pivot distance table of distinct fingerprints: fp, zero (to the zero pivot), near (to
+    the block pivots) and far (to the spread-out ones)."""
+    refs = [distance(F.col("fp"), F.lit(p)) for p in pivots()]
+    return fps.select("fp", refs[0].alias("zero"), F.array(*refs[1 : 1 + BLOCKS]).alias("near"), F.array(*refs[1 + BLOCKS :]).alias("far"))
+
+
+def keys() -> tuple[list[Column], Column]:
+    """The groups' numbers of a row of the table, and from these (as g0, g1 and so on) its keys: one
+    for each choice of groups that agree."""
+    # (zero - near + BLOCK) / 2 is 0 to BLOCK: a group's coordinates are digits of one number
+    digit = lambda i: F.shiftright(F.col("zero") - F.get("near", F.lit(i)) + BLOCK, 1).cast("long")
+    dealt = [range(g, BLOCKS, GROUPS) for g in range(GROUPS)]
+    number = [sum((digit(i) * (BLOCK + 1) ** k for k, i in enumerate(d)), F.lit(0).cast("long")) for d in dealt]
+    out = []
+    for k, held in enumerate(combinations(range(GROUPS), GROUPS - RADIUS)):
+        value = F.lit(k).cast("long")
+        for g in held:
+            value = value * (BLOCK + 1) ** len(dealt[g]) + F.col(f"g{g}")
+        out.append(value)
+    return number, F.array(*out)
+
+
+def candidates(fps: DataFrame) -> DataFrame:
+    """The fingerprints that may be linked to another one: by keys, then by the spread-out pivots."""
+    number, each = keys()
+    rows = table(fps).select("fp", "far", *[n.alias(f"g{g}") for g, n in enumerate(number)]).select("fp", "far", F.explode(each).alias("key"))
+    rows = publish(rows, "pivot_table")
+    held = publish(rows.groupBy("key").agg(F.count("*").alias("held")).where("held > 1").select("key"), "shared_keys")
+    band = lambda j, up: F.floor((F.get("far", F.lit(j)) + (RADIUS if up else 0)) / (RADIUS + 1))
+    bands = F.array_distinct(F.array(*[F.xxhash64("key", *[band(j, up) for j, up in enumerate(ups)]) for ups in product((False, True), repeat=SPREAD)]))
+    met = publish(rows.join(small(held), "key").select("fp", F.explode(bands).alias("band")), "bands")
+    both = publish(met.groupBy("band").agg(F.count("*").alias("held")).where("held > 1").select("band"), "shared_bands")
+    found = publish(met.join(small(both), "band").select("fp").distinct(), "candidates")
+    for x in (rows, held, met, both):
+        release(x)
+    return found
+
+
+def links(fps: DataFrame) -> DataFrame:
+    """Links (a < b) among distinct fingerprints that connect exactly those within the radius:
+    each fingerprint's to the least one that shares a one-bit neighbour (or itself) with it."""
+    flips = F.transform(F.array(*[F.lit(v) for v in (0, *[signed(1 << i) for i in range(BITS)])]), lambda m: F.col("fp").bitwiseXOR(m))
+    rows = candidates(fps).select("fp", F.explode(flips).alias("mid"))
     low = rows.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("mid", "a")
-    return rows.join(low, "mid").where("a < fp").select("a", F.col("fp").alias("b"))
+    return publish(rows.join(low, "mid").where("a < fp").select("a", F.col("fp").alias("b")).distinct(), "links")
+
+
+def contract(edges: DataFrame) -> DataFrame:
+    """The same components by fewer links: those of each chunk of a partition, each node to its least."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            at = x
+            while (up := root.setdefault(at, at)) != at:
+                at = up
+            while root[x] != at:
+                root[x], x = at, root[x]
+            return at
+
+        def out() -> pa.RecordBatch:
+            found = [(find(x), x) for x in root]
+            both = [(a, b) for a, b in found if a != b]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in both], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for p in parts:
+            for a, b in zip(p.column("a").to_pylist(), p.column("b").to_pylist()):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+            if len(root) > CHUNK:
+                yield out()
+                root.clear()
+        if root:
+            yield out()
+
+    return edges.select("a", "b").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node reachable, by alternating large and small stars.
+    """(node, root) of each node that is not the least reachable from it, by alternating large and
+    small stars over contracted links.
 
-    Every round is published, so a lost executor never unwinds earlier rounds.
+    Every round is published, so a lost executor never unwinds earlier rounds; the round before goes.
     """
-    now = edges.select("a", "b")
+    now = publish(contract(edges), "contracted")
     if not now.take(1):
         return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     last = None
@@ -143,23 +197,24 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.col("b").alias("u"), F.col("a").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("low"))
         tie = down.join(least, "u")
-        now = publish(
+        then = publish(
             tie.select(F.col("low").alias("a"), F.col("u").alias("b")).unionByName(tie.where("v > low").select(F.col("low").alias("a"), F.col("v").alias("b"))).distinct(),
             "stars",
         )
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.countDistinct("b")).first()
+        release(now)
+        now, state = then, then.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == last or state[0] == 0:
             break
         last = state
     return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, rid: Column | None = None) -> DataFrame:
     """A row for each document row: doc_id, fp, rid, component_id, winner (the rid that stays).
 
     Only fingerprints of classes of two rows or more are joined back; a lone row is its own class.
     """
-    rows = fingerprints(docs)
+    rows = fingerprints(docs, rid)
     low = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid")).alias("low")
     same = publish(rows.groupBy("fp").agg(low, F.count("*").alias("n")), "distinct")
     roots = components(links(same.select("fp")))
@@ -182,6 +237,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class: the smallest id's (its first row)."""
-    docs = settled(docs)
-    return without_rows(docs, classes(docs).where("rid != winner"))
+    """``docs`` with one row of each class: the smallest id's (its first row; null ids come last).
+
+    Null and empty texts are one class; an empty table stays empty.
+    """
+    rows = numbered(docs)
+    found = classes(rows.select("row.doc_id", "row.text", F.col("rid").alias("__rid")), F.col("__rid"))
+    return without_rows(rows, docs.columns, found.where("rid != winner"))
