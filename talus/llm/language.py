@@ -1,7 +1,7 @@
 """Language ID by bit-sliced Bloom filters over character n-grams.
 
-Word ``b`` of the filter holds one bit for each language: the slices of all languages
-side by side.  An n-gram's words (one for each hash) combined by AND give all languages
+Slot ``b`` of the filter holds one bit for each language, in as many 64-bit words as that takes:
+the slices of all languages side by side.  An n-gram's slots (one for each hash) combined by AND give all languages
 that contain it at once.  Over a text, the bits are counted for each language; a count
 is corrected by the rate at which that language's slice says yes to a foreign n-gram;
 the highest corrected share decides.
@@ -19,15 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.llm.common import batches, packed, unpacked
+from talus.llm.common import batches, packed, power_of_two, sliced, unpacked
 
 SIZES = (1, 2, 3, 4)
 HASHES = 3
-WORDS = 1 << 19
+#: Slots of the filter for each n-gram of the language that has most.
+SLOTS = 12
 #: The model is fitted on about so many labelled rows of a language at most (by a hash of the id).
 FIT_ROWS = 1500
-#: Of a language the filter holds the n-grams that at least this share of its rows have, and so many at most.
-FIT_SHARE, FIT_GRAMS = 0.02, 20_000
+#: Of a language the filter holds the n-grams that at least this share of those rows have.
+FIT_SHARE = 0.02
 #: A filtering stage keeps texts from this score on.
 KEEP_SCORE = 0.2
 _PRIMES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
@@ -35,7 +36,7 @@ _PRIMES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0
 
 @dataclass(frozen=True)
 class Model:
-    """``words``: the bit-sliced filter; ``wrong``: for each language the rate of false positives."""
+    """``words``: the bit-sliced filter (slots, words of a slot); ``wrong``: for each language the rate of false positives."""
 
     languages: tuple[str, ...]
     words: np.ndarray
@@ -72,9 +73,9 @@ def grams(x: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _spots(h: np.ndarray, i: int) -> np.ndarray:
+def _spots(h: np.ndarray, i: int, slots: int) -> np.ndarray:
     y = (h ^ (h >> np.uint64(31))) * _PRIMES[i]
-    return (y >> np.uint64(40)) % np.uint64(WORDS)
+    return ((y >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
 
 
 def is_training(doc_id: Column) -> Column:
@@ -83,55 +84,63 @@ def is_training(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on labelled rows that are not held out: about ``fit_rows`` of a language at most, by
-    a hash of the id, their whole texts.  Only n-grams counted are gathered, a bounded number."""
+    a hash of the id, their whole texts.
+
+    The n-grams that the filter holds reach the driver: of a language at most 1 / FIT_SHARE times
+    the distinct n-grams of an average text, however many rows the corpus has.
+    """
+    batches(docs.sparkSession)
     train = docs.where(F.col("lang").isNotNull() & F.coalesce(is_training(F.col("doc_id")), F.lit(False)) & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
     names = tuple(sorted(sizes))
-    if len(names) > 64:
-        raise ValueError("more than 64 languages: one word of the filter holds 64 slices")
-    none = Model(names, np.zeros(WORDS, np.uint64), np.zeros(len(names)))
     if not names:
-        return none
+        return build({})
     share = F.create_map(*[x for k in names for x in (F.lit(k), F.lit(min(1.0, fit_rows / sizes[k])))])
     draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) / 1_000_000.0
     sample = train.where(draw < share[F.col("lang")]).select("lang", "text")
-    batches(docs.sparkSession)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in sliced(parts):
             by: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 by.setdefault(lang, []).append(np.unique(grams(codes(text))))
             for lang, found in by.items():
                 h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(h), pa.string()), "gram": pa.array(h.view(np.int64)), "n": pa.array(n, pa.int64()), "rows": pa.array([0] * len(h), pa.int64())})
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang], pa.string()), "gram": pa.array([None], pa.int64()), "n": pa.array([0], pa.int64()), "rows": pa.array([len(found)], pa.int64())})
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(h), pa.string()), "gram": pa.array(h.view(np.int64)), "n": pa.array(n, pa.int64())})
+
+    rows = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    least = F.create_map(*[x for k in names for x in (F.lit(k), F.lit(max(2.0 if rows.get(k, 0) > 20 else 1.0, FIT_SHARE * rows.get(k, 0))))])
+    counted = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = counted.where(F.col("n") >= least[F.col("lang")]).select("lang", "gram").toArrow()
+    lang, gram = found.column("lang").to_numpy(), found.column("gram").to_numpy().view(np.uint64)
+    return build({k: gram[lang == k] for k in names})
 
-    counted = sample.mapInArrow(count, "lang string, gram long, n long, rows long").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).persist()
-    words = none.words.copy()
-    fill = np.zeros(len(names))
+
+def build(learned: dict[str, np.ndarray]) -> Model:
+    """The model that holds each language's n-gram hashes; sized by the language that has most."""
+    names = tuple(sorted(learned))
+    slots = power_of_two(SLOTS * max([1, *map(len, learned.values())]))
+    words, fill = np.zeros((slots, max(1, -(-len(names) // 64))), np.uint64), np.zeros(len(names))
     for i, lang in enumerate(names):
-        own = counted.where(F.col("lang") == lang)
-        rows = own.where("gram is null").select("rows").first()
-        least = max(2.0 if rows and rows[0] > 20 else 1.0, FIT_SHARE * (rows[0] if rows else 0))
-        top = own.where(F.col("gram").isNotNull() & (F.col("n") >= least)).orderBy(F.desc("n"), "gram").limit(FIT_GRAMS)
-        h = np.array([r[0] for r in top.select("gram").collect()], np.int64).view(np.uint64)
-        bit = np.uint64(1) << np.uint64(i)
+        slice_, bit = words[:, i // 64], np.uint64(1) << np.uint64(i % 64)
         for k in range(HASHES):
-            np.bitwise_or.at(words, _spots(h, k).astype(np.int64), bit)
-        fill[i] = float(((words & bit) != 0).mean())
-    counted.unpersist()
+            np.bitwise_or.at(slice_, _spots(learned[lang], k, slots), bit)
+        fill[i] = float(((slice_ & bit) != 0).mean())
     return Model(names, words, fill**HASHES)
 
 
+def counts(h: np.ndarray, model: Model) -> np.ndarray:
+    """For each language how many of the n-gram hashes its slice says that it contains."""
+    said = reduce(np.bitwise_and, (model.words[_spots(h, i, len(model.words))] for i in range(HASHES)))
+    return np.array([np.count_nonzero(said[:, i // 64] & (np.uint64(1) << np.uint64(i % 64))) for i in range(len(model.languages))], float)
+
+
 def shares(text: str, model: Model) -> np.ndarray:
     """For each language the corrected share of the text's n-grams that it contains (0 to 1)."""
     h = grams(codes(text))
     if not len(h):
         return np.zeros(len(model.languages))
-    said = reduce(np.bitwise_and, (model.words[_spots(h, i)] for i in range(HASHES)))
-    n = np.array([np.count_nonzero(said & (np.uint64(1) << np.uint64(i))) for i in range(len(model.languages))], float)
-    return np.clip((n / len(h) - model.wrong) / (1 - model.wrong), 0, 1)
+    return np.clip((counts(h, model) / len(h) - model.wrong) / (1 - model.wrong), 0, 1)
 
 
 def decide(text: str | None, model: Model) -> tuple[str, float]:
@@ -154,7 +163,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     schema = T.StructType(kept.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in sliced(parts, "__text"):
             found = [decide(t, shared.value) for t in b.column("__text").to_pylist()]
             cols = [b.column(c) for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score"])
@@ -173,7 +182,11 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None = None, least: float = KEEP_SCORE) -> DataFrame:
-    """``docs`` whose text has a language: not ``und``, and a score of ``least`` or more."""
+    """``docs`` whose text has a language: not ``und``, and a score of ``least`` or more.
+
+    Null texts and those without letters go; repeated rows and null ids are judged like any other;
+    an empty table stays empty.
+    """
     rows = docs.select("text", packed(docs).alias("row"))
     found = predict(rows, model or fit(docs), ("row",))
     return unpacked(found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)), docs.columns)
