@@ -1,86 +1,104 @@
 """Document fingerprints from prefix polynomial hashes.
 
 ``P[i] = sum(c[j] * B**j for j < i) mod p`` for two bases, p = 2**31 - 1.  The hash of any span
-follows from two entries, brought to a common power, so that spans of different places compare;
+follows from two entries, brought to the power zero, so that spans of different places compare;
 the longest common extension of two places is found by binary search over span hashes.
 
 A document's fingerprint is the hash of its whole text and a bottom-k sketch over the hashes of
-all spans of WINDOW code points.  The likeness of two fingerprints estimates the share of spans
-in common (Dice), from the fingerprints alone.
+all spans of WINDOW code points; one of fewer than SHORT code points has a second sketch, of all its
+spans of one and two.  The likeness of two fingerprints estimates the share of spans in common
+(Dice), from the fingerprints alone: of short spans if both texts are short, else of long ones.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches, text_of
+from talus.llm.common import batches, sliced, text_of
 
 P = np.uint64(2**31 - 1)
 BASES = (1_000_003, 786_433_511)
 #: Code points of a span: few enough that texts of some words hold several, enough that unrelated texts share few.
 WINDOW = 9
+#: Below so many code points a text also has a sketch of its spans of one and two.
+SHORT = 64
 SKETCH = 64
-#: Text of a partition, about, in code points.
-PART_CHARS = 6_000_000
+#: Code points that are worked on at a time; what a text's arrays take beyond that is 12 bytes a code point.
+CHUNK = 1 << 20
+#: Text of a partition, about, in code points; partitions at most (longer ones then); rows sampled for each.
+PART_CHARS, PARTS, SAMPLED = 6_000_000, 20_000, 40
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, lce_edited long"
 
-_powers: list[np.ndarray] = []
 
 
-def powers(n: int) -> list[np.ndarray]:
-    """B**j mod p for j up to n, of each base; grown by doubling."""
-    if not _powers:
-        _powers.extend(np.array([1, b], np.uint64) for b in BASES)
-    while len(_powers[0]) <= n:
-        for i, x in enumerate(_powers):
-            top = x[-1] * x[1] % P
-            _powers[i] = np.concatenate((x, x * top % P))
-    return _powers
+@lru_cache(maxsize=1)
+def _ladders() -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """B**j and B**-j mod p for j up to CHUNK, of each base."""
+
+    def ladder(b: int) -> np.ndarray:
+        x = np.array([1, b], np.uint64)
+        while len(x) < CHUNK:
+            x = np.concatenate((x, x * (x[-1] * x[1] % P) % P))
+        return x[:CHUNK].astype(np.uint32)
+
+    return [ladder(b) for b in BASES], [ladder(pow(b, -1, int(P))) for b in BASES]
 
 
 def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 class Prefix:
-    """Prefix hashes of a text's code points."""
+    """Prefix hashes of a text's code points (each counts as its number and one)."""
 
     def __init__(self, codes: np.ndarray):
         self.n = len(codes)
-        self.top = self.n
-        pw = powers(self.n)
-        self.sums = []
-        for x in pw:
-            sums = np.zeros(self.n + 1, np.uint64)
-            np.cumsum(codes * x[: self.n] % P, out=sums[1:])
-            sums %= P
-            self.sums.append(sums)
-
-    def spans(self, starts: np.ndarray, length: int, top: int | None = None) -> np.ndarray:
-        """62-bit hashes of spans of one length, brought to the power ``top`` (default: own length)."""
-        out = np.zeros(len(starts), np.uint64)
-        pw = powers(max(self.top, top or 0))
-        for x, sums in zip(pw, self.sums):
-            raw = sums[starts + length] + P - sums[starts]
+        self.sums = [np.zeros(self.n + 1, np.uint32) for _ in BASES]
+        for base, ladder, sums in zip(BASES, _ladders()[0], self.sums):
+            for at in range(0, self.n, CHUNK):
+                part = codes[at : at + CHUNK].astype(np.uint64) + np.uint64(1)
+                part *= ladder[: len(part)]
+                part %= P
+                if at:
+                    part *= np.uint64(pow(base, at, int(P)))
+                    part %= P
+                np.cumsum(part, out=part)
+                part += np.uint64(sums[at])
+                sums[at + 1 : at + 1 + len(part)] = part % P
+
+    def span(self, i: int, length: int) -> tuple[int, ...]:
+        """The place-free hash of one span."""
+        p = int(P)
+        return tuple((int(s[i + length]) - int(s[i])) * pow(b, -i, p) % p for b, s in zip(BASES, self.sums))
+
+    def windows(self, width: int, at: int) -> np.ndarray:
+        """Place-free 62-bit hashes of the spans of ``width`` from ``at`` on, CHUNK at most."""
+        to = min(self.n - width + 1, at + CHUNK)
+        out = np.zeros(to - at, np.uint64)
+        for base, ladder, sums in zip(BASES, _ladders()[1], self.sums):
+            raw = sums[at + width : to + width].astype(np.uint64) + P
+            raw -= sums[at:to]
             raw %= P
-            raw *= x[(self.top if top is None else top) - starts]
+            raw *= ladder[: len(raw)]
             raw %= P
-            out = (out << np.uint64(31)) | raw
+            if at:
+                raw *= np.uint64(pow(base, -at, int(P)))
+                raw %= P
+            out <<= np.uint64(31)
+            out |= raw
         return out
 
 
 def equal(a: Prefix, i: int, b: Prefix, j: int, length: int) -> bool:
     """Whether the spans of a from i and of b from j are equal."""
-    if i + length > a.n or j + length > b.n:
-        return False
-    top = max(a.n, b.n)
-    return bool(a.spans(np.array([i]), length, top)[0] == b.spans(np.array([j]), length, top)[0])
+    return i + length <= a.n and j + length <= b.n and a.span(i, length) == b.span(j, length)
 
 
 def extension(a: Prefix, i: int, b: Prefix, j: int) -> int:
@@ -97,34 +115,6 @@ def _normal(spans: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def window_hashes(prefix: Prefix) -> np.ndarray:
-    """Place-free hashes of all windows (a shorter text: of the text itself; empty: none)."""
-    if not prefix.n:
-        return np.zeros(0, np.uint64)
-    w = min(WINDOW, prefix.n)
-    out = np.zeros(prefix.n - w + 1, np.uint64)
-    for sums, back in zip(prefix.sums, backs(prefix.n)):
-        raw = sums[w:] + P - sums[: prefix.n - w + 1]
-        raw %= P
-        raw *= back[: len(raw)]
-        raw %= P
-        out = (out << np.uint64(31)) | raw
-    return _normal(out)
-
-
-_backs: list[np.ndarray] = []
-
-
-def backs(n: int) -> list[np.ndarray]:
-    """B**-j mod p for j up to n, of each base: they bring a span to the power zero."""
-    if not _backs:
-        _backs.extend(np.array([1, pow(b, -1, int(P))], np.uint64) for b in BASES)
-    while len(_backs[0]) <= n:
-        for i, x in enumerate(_backs):
-            _backs[i] = np.concatenate((x, x * (x[-1] * x[1] % P) % P))
-    return _backs
-
-
 def sketch(hashes: np.ndarray, k: int = SKETCH) -> np.ndarray:
     """The k least distinct hashes, sorted."""
     take = 4 * k
@@ -136,19 +126,30 @@ def sketch(hashes: np.ndarray, k: int = SKETCH) -> np.ndarray:
     return np.unique(hashes)[:k]
 
 
+def sketched(prefix: Prefix, *widths: int) -> np.ndarray:
+    """The sketch of all spans of the widths (a text shorter than one: of the text itself; empty: none)."""
+    if not prefix.n:
+        return np.zeros(0, np.uint64)
+    found = [sketch(_normal(prefix.windows(w, at))) for w in {min(w, prefix.n) for w in widths} for at in range(0, prefix.n - w + 1, CHUNK)]
+    return found[0] if len(found) == 1 else sketch(np.concatenate(found))
+
+
 def fingerprint(prefix: Prefix) -> str:
-    """n_chars, the whole text's hash and the sketch, in hex, parted by ``-`` and ``.``."""
+    """n_chars, the whole text's hash, the sketch and a short text's second one, in hex, parted by ``-`` and ``.``."""
     whole = 0
     for s in prefix.sums:
         whole = whole << 31 | int(s[-1])
-    return f"{prefix.n:x}-{whole:x}-" + ".".join(f"{int(x):x}" for x in sketch(window_hashes(prefix)))
+    hexed = lambda x: ".".join(f"{v:x}" for v in x.tolist())
+    return f"{prefix.n:x}-{whole:x}-{hexed(sketched(prefix, WINDOW))}" + (f"-{hexed(sketched(prefix, 1, 2))}" if prefix.n < SHORT else "")
 
 
 def likeness(a: str, b: str) -> float:
     """Dice of the spans of two fingerprinted texts, estimated; 1 if the fingerprints are equal."""
     if a == b:
         return 1.0
-    x, y = (np.array([int(v, 16) for v in s.rsplit("-", 1)[1].split(".") if v], np.uint64) for s in (a, b))
+    parts = a.split("-"), b.split("-")
+    of = 3 if all(len(x) == 4 for x in parts) else 2
+    x, y = (np.array([int(v, 16) for v in s[of].split(".") if v], np.uint64) for s in parts)
     if not len(x) or not len(y):
         return 0.0
     low = np.union1d(x, y)[:SKETCH]
@@ -162,35 +163,58 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - k] + after[:k]
 
 
-def _ranges(rows: DataFrame, part_chars: int) -> list[int]:
-    """Ids at which ranges of about ``part_chars`` of text end."""
-    total, n = rows.agg(F.sum(F.length("text")), F.count("*")).first()
-    parts = min(n or 1, (total or 0) // part_chars + 1)
+PLACE = "struct<key:long,h:long,salt:long>"
+
+
+def cuts(rows: DataFrame, part_chars: int = PART_CHARS) -> list[tuple[int, int, int]]:
+    """Places (key, h, salt) at which ranges of about ``part_chars`` of text begin, but for the first.
+
+    They are taken from a sample by hash, in proportion to the length of texts, of about SAMPLED rows a
+    range: they only deal out the work, and any of them is right.
+    """
+    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = min(PARTS, total // part_chars + 1)
     if parts < 2:
         return []
-    found = rows.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], 10 * parts).alias("c")).first()["c"]
-    return sorted(set(found or []))
+    step = total / (parts * SAMPLED)
+    draw = F.pmod(F.xxhash64(F.lit("cut"), "place"), F.lit(1 << 30)) / float(1 << 30)
+    weight = F.greatest(F.length("text").cast("double"), F.lit(step))
+    found = sorted((tuple(r[0]), r[1]) for r in rows.where(draw < F.length("text") / step).select("place", weight).collect())
+    if not found:
+        return []
+    upto = np.cumsum([w for _, w in found])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts)
+    return sorted({found[i][0] for i in at.tolist()})
 
 
 def in_order(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     """range, guest, doc_id, text: documents in ascending ids, dealt to ranges; each range's rows
     stand sorted in one partition and end with a guest, the next range's first row (the last
-    range's guest is the very first row).  Of equal ids the order is by text; null ids come first.
-    Each text moves once.
+    range's guest is the very first row).  Null ids come first; of equal ids the order is by a hash of the
+    text, and equal rows are dealt out by their place in the scan, so that no id makes a range of its
+    own.  Each text moves once.
     """
-    key = F.coalesce("doc_id", F.lit(-(2**63)))
-    rows = docs.select(key.alias("key"), "doc_id", text_of().alias("text"))
-    cuts = _ranges(rows, part_chars)
-    ends = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    rows = rows.withColumn("range", F.size(F.filter(ends, lambda c: c <= F.col("key"))))
-    first = {r[0]: r[1] for r in rows.groupBy("range").agg(F.min("key")).collect()}
+    spark = docs.sparkSession
+    place = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"), F.xxhash64(text_of()).alias("h"), F.xxhash64(F.monotonically_increasing_id()).alias("salt"))
+    rows = docs.select(place.alias("place"), "doc_id", text_of().alias("text"))
+    starts = cuts(rows, part_chars)
+    # a search in two steps: among every wide-th start, then among those up to the next one
+    wide = max(1, int(len(starts) ** 0.5))
+    table = spark.createDataFrame([(starts[::wide], [starts[i : i + wide] for i in range(0, len(starts), wide)])], f"tops array<{PLACE}>, each array<array<{PLACE}>>")
+    before = lambda x: F.size(F.filter(x, lambda c: c <= F.col("place")))
+    top = F.col("top") - 1
+    found = F.when(F.col("top") > 0, top * wide + before(F.get("each", top))).otherwise(0)
+    rows = rows.crossJoin(F.broadcast(table)).withColumn("top", before(F.col("tops")))  # one row, PARTS places at most
+    rows = rows.select("place", "doc_id", "text", found.cast("int").alias("range"))
+    first = {r[0]: (r[1], r[2]) for r in rows.groupBy("range").agg(F.min(F.struct("place.key", "place.h")).alias("low")).select("range", "low.key", "low.h").collect()}
     order = sorted(first)
-    table = docs.sparkSession.createDataFrame([(order[i - 1], first[r]) for i, r in enumerate(order)], "__before int, __key long")
-    guests = rows.join(F.broadcast(table), F.col("key") == F.col("__key")).groupBy("__before").agg(F.min("text").alias("text"))
-    both = rows.select("range", F.lit(0).alias("guest"), "key", "doc_id", "text").unionByName(
-        guests.select(F.col("__before").alias("range"), F.lit(1).alias("guest"), F.lit(0).cast("long").alias("key"), F.lit(None).cast("long").alias("doc_id"), "text")
+    guests_of = spark.createDataFrame([(r, order[i - 1], *first[r]) for i, r in enumerate(order)], "__range int, __before int, __key long, __h long")
+    on = (F.col("range") == F.col("__range")) & (F.col("place.key") == F.col("__key")) & (F.col("place.h") == F.col("__h"))
+    guests = rows.join(F.broadcast(guests_of), on).groupBy("__before").agg(F.min("text").alias("text"))  # a row a range
+    both = rows.select("range", F.lit(0).alias("guest"), "place.key", "place.h", "doc_id", "text").unionByName(
+        guests.select(F.col("__before").alias("range"), F.lit(1).alias("guest"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("h"), F.lit(None).cast("long").alias("doc_id"), "text")
     )
-    return both.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", "guest", "key", "text").select("range", "guest", "doc_id", "text")
+    return both.repartitionById(len(starts) + 1, F.col("range")).sortWithinPartitions("range", "guest", "key", "h", "text").select("range", "guest", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
@@ -200,13 +224,13 @@ def fingerprints(docs: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
     A null text is empty; a lone document follows itself; near_* is 1 for two empty texts and 0
     where one alone is empty.  Ties and null ids stand in the order of ``in_order``.
     """
-    batches(docs.sparkSession, 200)
+    batches(docs.sparkSession)
     names = [x.strip().split(" ")[0] for x in RESULT.split(",")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for b in parts:
+        for b in sliced(parts):
             out = []
             for guest, doc_id, text in zip(*(b.column(c).to_pylist() for c in ("guest", "doc_id", "text"))):
                 own = Prefix(points(text))
