@@ -11,7 +11,7 @@ from talus.functions import dates, rules
 from talus.functions import text as T
 from talus.operators import aggregates as A
 from talus.operators import cascade, cdc, dedup, vectors
-from talus.plans import silver
+from talus.plans import discovery, silver
 from talus.sources import boards, postings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,6 +168,22 @@ def group_profile(read):
     return A.profile(read("customer"), "c_nationkey", ["c_mktsegment"], "c_custkey")
 
 
+@query("""SELECT c_nationkey, string_agg(c_mktsegment || ' (' || n || ')', ', ' ORDER BY n DESC, c_mktsegment) AS top FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n,
+row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, c_mktsegment) AS rn FROM customer GROUP BY 1, 2) WHERE rn <= 3 GROUP BY 1""")
+def top_items(read):
+    return discovery.top_items(read("customer"), ["c_nationkey"], F.array("c_mktsegment"), 3)
+
+
+@query("""SELECT branch, count(*) AS n, count(*) FILTER (WHERE source = 'src0') AS n_other FROM (SELECT source, unnest([CASE WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'license' END, CASE WHEN regexp_matches(text, 'token') THEN 'token' END]) AS branch FROM documents)
+WHERE branch IS NOT NULL GROUP BY 1""")
+def branch_candidates(read):
+    texts = read("documents").select(
+        F.col("doc_id").alias("job_id"), F.col("text").alias("title"), F.array("lang").alias("skills"), "source", "lang", F.when(F.col("source") == "src0", "OTHER").otherwise("DATA").alias("role_category"), F.lit(True).alias("is_active")
+    )
+    clusters = texts.select("job_id", F.lit("all").alias("scope"), F.lit(0).alias("cluster_id"), F.lit(0.0).alias("silhouette_sample"))
+    return discovery.discovery(texts, clusters, ["OTHER", "DATA"], {"license": "(?i)licen[sc]e", "token": "token"})["branches"]
+
+
 @query("""SELECT l_partkey, l_orderkey FROM (SELECT l_partkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_partkey ORDER BY l_linenumber, l_orderkey) AS rn FROM lineitem WHERE l_linenumber <= 3)
 WHERE rn = 1 ORDER BY l_linenumber, l_orderkey LIMIT 25""")
 def bounded_sample(read):
@@ -552,6 +568,14 @@ def volume_estimate(read):
     return postings.volume(read("lineitem").select(F.col("l_partkey").alias("source_job_id")))
 
 
+@query("""WITH p AS (SELECT 'q' || l_linenumber AS item, l_partkey, l_orderkey % 3 + 1 AS page, l_linenumber * 100 AS total FROM lineitem)
+SELECT item, max(total)::BIGINT AS total, count(*) AS listed, count(DISTINCT l_partkey) AS ids FROM p WHERE page = 1 GROUP BY 1
+UNION ALL SELECT NULL, (SELECT sum(DISTINCT total)::BIGINT FROM p WHERE page = 1), count(*), count(DISTINCT l_partkey) FROM p WHERE page = 1""")
+def volume_by_item(read):
+    rows = read("lineitem").select(F.concat(F.lit("q"), "l_linenumber").alias("item"), F.col("l_partkey").alias("source_job_id"), (F.col("l_orderkey") % 3 + 1).alias("page"), (F.col("l_linenumber") * 100).cast("long").alias("total"))
+    return postings.volume_by_item(rows)
+
+
 @query("""SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'Hybrid' WHEN 'MACHINERY' THEN 'Remote' WHEN 'FURNITURE' THEN 'At office' END AS model, trim(c_name) AS rest FROM customer""")
 def work_models(read):
     kind = F.when(F.col("c_mktsegment") == "BUILDING", "Hybrid").when(F.col("c_mktsegment") == "MACHINERY", "Remote").when(F.col("c_mktsegment") == "FURNITURE", "At office").otherwise("")

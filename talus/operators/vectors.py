@@ -24,6 +24,14 @@ def prototypes(df: DataFrame, label: str, vector: str) -> DataFrame:
     return means.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "v"))), lambda x: x["v"]).alias("prototype"))
 
 
+def text_prototypes(families: DataFrame, encoder: Callable[[list[str]], np.ndarray], prefix: str = "passage: ") -> DataFrame:
+    """(label, prototype) of each family but OTHER, from its own words: ``name``, ``aliases`` and
+    ``skills`` of its ``code``, encoded as one text."""
+    said = F.concat(F.col("name"), F.lit(". "), F.concat_ws(", ", F.concat("aliases", "skills")))
+    rows = families.where("code <> 'OTHER'").select(F.col("code").alias("label"), said.alias("text"))
+    return embed(rows, "label", "text", encoder, prefix).withColumnRenamed("vector", "prototype")
+
+
 def match(df: DataFrame, protos: DataFrame, label: str, vector: str, least: float, margin: float) -> DataFrame:
     """Best prototype, its similarity and its margin over the second; ``accepted`` by both gates.
 

@@ -100,3 +100,13 @@ def paginate(rows: DataFrame, size: int, cap: int | None = None) -> tuple[DataFr
 def volume(rows: DataFrame) -> DataFrame:
     """Sum of listings, distinct ids and their overlap in percent."""
     return rows.agg(F.count("*").alias("listed"), F.count_distinct("source_job_id").alias("ids")).withColumn("overlap_pct", F.when(F.col("listed") > 0, F.bround(100 * (1 - F.col("ids") / F.col("listed")), 1)))
+
+
+def volume_by_item(rows: DataFrame) -> DataFrame:
+    """What first pages say: a row for each item (its stated ``total``, the listings on page 1), and one of a null
+    item with the sum of totals, the listings and the distinct ids of all first pages."""
+    first = rows.where("page = 1")
+    each = first.groupBy("item").agg(F.max("total").alias("total"), F.count("source_job_id").alias("listed"), F.count_distinct("source_job_id").alias("ids"))
+    ids = first.agg(F.count_distinct("source_job_id").alias("ids"))
+    sums = each.agg(F.sum("total").alias("total"), F.sum("listed").alias("listed")).crossJoin(ids)  # one row each
+    return each.unionByName(sums.select(F.lit(None).cast("string").alias("item"), "total", "listed", "ids"))

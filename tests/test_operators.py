@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from talus.functions import dates, rules
 from talus.functions import text as T
-from talus.operators import cascade, cdc, dedup, dispatch, vectors
-from talus.plans import silver
+from talus.operators import aggregates, cascade, cdc, dedup, dispatch, vectors
+from talus.plans import discovery, silver
 from talus.sources import postings
 
 
@@ -247,3 +247,32 @@ def test_dispatch_by_threads():
     slow = dispatch.Provider("slow", lambda j: time.sleep(0.4) or {"job_family": "X"})
     out = dispatch.dispatch([{"job_id": "1", "content_hash": "h"}, {"job_id": "2", "content_hash": "h"}], [slow], workers=2, idle=0.1)
     assert sorted((x["job_id"] == "1", x["method"]) for x in out) in ([(False, "manual_review"), (True, "llm:slow")], [(False, "llm:slow"), (True, "manual_review")])
+
+
+def test_discovery_tables_and_taxonomy(spark):
+    texts = spark.createDataFrame(
+        [("1", "Data Engineer", ["SQL", "Spark"], "a", "en", "DE", True), ("2", "Senior Data Engineer", ["SQL"], "a", "en", "DE", None), ("3", "Kế toán", [], "b", "vi", "OTHER", False)],
+        "job_id string, title string, skills array<string>, source string, lang string, role_category string, is_active boolean",
+    )
+    clusters = spark.createDataFrame([("1", "all", 0, 0.5), ("2", "all", 0, 0.25), ("3", "all", 1, 0.0), ("3", "other", 0, 0.1), ("9", "other", 0, 0.2)], "job_id string, scope string, cluster_id int, silhouette_sample double")
+    tables = discovery.discovery(texts, clusters, ["DE", "OTHER"], {"engineers": "(?i)engineer", "none": "xyz"})
+    assert {(r["facet"], r["value"]): r["n"] for r in tables["overview"].collect()} == {("rows", ""): 3, ("active", ""): 1, ("source", "a"): 2, ("source", "b"): 1, ("lang", "en"): 2, ("lang", "vi"): 1, ("role_category", "DE"): 2, ("role_category", "OTHER"): 1}
+    assert tables["title_terms"].first()["top"].startswith("data (2), data engineer (2), engineer (2)")
+    rows = {(r["scope"], r["cluster_id"]): r for r in tables["clusters"].collect()}
+    assert rows["all", 0]["top_skills"] == "SQL (2), Spark (1)" and rows["all", 0]["silhouette"] == 0.375 and rows["other", 0]["n"] == 2 and rows["other", 0]["top_source"] == "b"
+    assert [(r["branch"], r["n"], r["n_other"]) for r in tables["branches"].collect()] == [("engineers", 2, 0)]
+    said = discovery.report("Found", tables)
+    assert "## roles_by_cluster" in said and "| 0 | 2 | 0 |" in said
+    functions = [{"code": "DE", "name": "n", "definition": "d", "inclusion": "i", "exclusion": "e"}]
+    out = discovery.taxonomy(functions, ["x", "x"], {"split": aggregates.evidence(texts, "title", "(?i)data", senior="Senior")}, status="draft")
+    assert out["validation_from_discovery"] == {"split": {"n": 2, "senior": 1, "neither": 1}} and out["domains"] == ["x"] and out["status"] == "draft"
+    with pytest.raises(ValueError):
+        discovery.taxonomy(functions * 2, [], {})
+
+
+def test_text_prototypes(spark):
+    families = spark.createDataFrame([("DE", "Data Engineer", ["etl"], ["spark"]), ("OTHER", "Other", [], [])], "code string, name string, aliases array<string>, skills array<string>")
+    encode = vectors.hashing_encoder(16)
+    rows = vectors.text_prototypes(families, encode).collect()
+    want = encode(["passage: Data Engineer. etl, spark"])[0]
+    assert [r["label"] for r in rows] == ["DE"] and rows[0]["prototype"] == pytest.approx((want / (want @ want) ** 0.5).tolist())
