@@ -1,9 +1,8 @@
 """Secret scan by a trigram inverted index (native: DataFrame functions only).
 
-Each rule is a regular expression with a Boolean trigram query derived from mandatory
-literals, which are given by hand and checked against the expression: an OR over literal variants of an AND over the variant's
-trigrams.  The index maps (trigram, segment) to a posting list of document ids,
-for the trigrams that the rules ask for; lists are intersected and united segment
+Each rule is a regular expression; its Boolean trigram query is derived from the expression
+(``trigrams``).  The index maps (trigram, segment) to a posting list of document ids,
+for the trigrams that the rules ask for; lists are intersected and united as the queries say, segment
 by segment, and the surviving documents alone are verified with the expression.
 A rule without mandatory trigrams verifies every document.
 """
@@ -11,64 +10,38 @@ A rule without mandatory trigrams verifies every document.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from re import _parser
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import packed, small, text_of, unpacked
+from talus.llm.common import packed, publish, small, text_of, unpacked
+from talus.llm.trigrams import Query, query_of, trigrams
 
 #: Ids of one segment: the longest posting list.
 SEGMENT = 2048
 WORKING = "`__mask`"
-
-
-def required(pattern: str) -> list[str]:
-    """What each way through ``pattern`` spells, lower-cased; \\0 for what is no fixed character."""
-
-    def ways(items) -> list[str]:
-        out = [""]
-        for op, arg in items:
-            name, new = str(op), ["\0"]
-            if name == "LITERAL":
-                new = [chr(arg).lower()]
-            elif name == "IN" and len(arg) <= 8 and all(str(k) == "LITERAL" for k, _ in arg):
-                new = sorted({chr(v).lower() for _, v in arg})
-            elif name == "SUBPATTERN":
-                new = ways(arg[-1])
-            elif name == "BRANCH":
-                new = [w for x in arg[1] for w in ways(x)]
-            elif name == "MAX_REPEAT" and tuple(arg[:2]) == (0, 1):
-                new = ["", *ways(arg[2])]
-            out = [a + b for a in out for b in new]
-        return out
-
-    return sorted(set(ways(_parser.parse(pattern))))
+#: Elements of a block of running sums, code points of a block of text.
+BLOCK, TEXT_BLOCK = 64, 1024
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``literals``: lower-cased strings of which every match holds one (empty: scan fully).
-
-    A match counts if its group ``group`` (0: all) has ``least`` characters or more.
-    """
+    """A match counts if its group ``group`` (0: all) has ``least`` characters or more."""
 
     kind: str
     pattern: str
-    literals: tuple[str, ...] = ()
     group: int = 0
     least: int = 1
 
-    def __post_init__(self):
-        for x in required(self.pattern) if self.literals else ():
-            if not any(w in x for w in self.literals):
-                raise ValueError(f"{self.kind}: a match may hold none of the literals ({x!r})")
+    def query(self) -> Query:
+        """The trigram query of the pattern; None: scan fully."""
+        return _query(self.pattern)
 
-    def query(self) -> list[list[str]]:
-        """The trigram query: alternatives, each a list of trigrams that must all occur."""
-        found = [sorted({w[i : i + 3] for i in range(len(w) - 2)}) for w in self.literals]
-        return found if all(found) else []
+
+@lru_cache(maxsize=1024)
+def _query(pattern: str) -> Query:
+    return query_of(pattern)
 
 
 # Fixed values of the contract: the three base rules.  A run of hex digits is maximal, so its
@@ -77,31 +50,26 @@ BASE = (
     Rule(
         "assign",
         r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        ("password", "passwd", "secret", "token", "api_key", "apikey"),
         2,
         6,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", ("akia",), 0, 20),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 #: Further kinds that the method finds beside the base ones.
 EXTRA = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", ("private key-----",)),
-    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (".eyj",)),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
 )
 RULES = BASE + EXTRA
 
 
-def trigrams(rules: tuple[Rule, ...]) -> list[str]:
-    return sorted({t for r in rules for alt in r.query() for t in alt})
-
-
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The inverted index (segment, trigram, ids): ids sorted, distinct and at most SEGMENT."""
     # the text is lower-cased once: named outright, it would be again for each trigram
-    held = lambda low: F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams(rules)]))
+    held = lambda low: F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in sorted({t for r in rules for t in trigrams(r.query())})]))
     return (
         docs.where(F.col("doc_id").isNotNull())
         .select("doc_id", F.explode(F.transform(F.array(F.lower(text_of())), held)[0]).alias("trigram"))
@@ -115,35 +83,50 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     lists = index.groupBy("segment").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "ids"))).alias("lists"))
     none = F.array().cast("array<bigint>")
 
-    def of(rule: Rule) -> Column:
-        alts = [
-            reduce(F.array_intersect, [F.coalesce(F.try_element_at("lists", F.lit(t)), none) for t in alt])
-            for alt in rule.query()
-        ]
-        return reduce(F.array_union, alts)
+    def of(query: Query) -> Column:
+        if isinstance(query, str):
+            return F.coalesce(F.try_element_at("lists", F.lit(query)), none)
+        return reduce(F.array_intersect if query[0] == "and" else F.array_union, map(of, query[1]))
 
-    asked = [(i, r) for i, r in enumerate(rules) if r.query()]
+    asked = [(i, r) for i, r in enumerate(rules) if r.query() is not None]
     return (
-        lists.select(F.explode(F.array(*[F.struct(F.lit(1 << i).alias("bit"), of(r).alias("ids")) for i, r in asked])).alias("q"))
+        lists.select(F.explode(F.array(*[F.struct(F.lit(1 << i).alias("bit"), of(r.query()).alias("ids")) for i, r in asked])).alias("q"))
         .select(F.explode("q.ids").alias("doc_id"), F.col("q.bit").alias("bit"))
         .groupBy("doc_id")
         .agg(F.bit_or("bit").alias("__mask"))
     )
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, op=lambda a, b: a + b) -> Column:
+    """What ``op`` makes of all elements before each (0 before the first), of an array of numbers from 0 on.
+
+    Blocks of blocks are folded first: the time is linear in the length, but for arrays far beyond
+    BLOCK**3 elements.
+    """
+    fold = lambda x: F.aggregate(x, F.lit(0), op)
+    before = lambda x: F.transform(x, lambda _, i: fold(F.slice(x, F.lit(1), i)))
+    blocks = lambda x: F.transform(F.sequence(F.lit(0), F.greatest(F.size(x) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(x, i + 1, F.lit(BLOCK)))
+
+    def of(x: Column, depth: int) -> Column:
+        if depth == 0:
+            return before(x)
+        return _bound(blocks(x), lambda b: F.flatten(F.zip_with(b, _bound(F.transform(b, fold), lambda s: of(s, depth - 1)), lambda part, start: F.transform(before(part), lambda y: op(y, start)))))
+
+    return _bound(values, lambda x: of(x, 2))
+
+
 def _spans(rule: Rule, raw: str) -> Column:
     """Spans of one rule from its raw pieces: code point offsets, end exclusive."""
     m = F.col(raw)
-    step = lambda acc, x: acc + F.length(x)
-    span = lambda i: F.struct(
-        (
-            F.aggregate(F.slice(m["gaps"], F.lit(1), i + 1), F.lit(0), step)
-            + F.aggregate(F.slice(m["hits"], F.lit(1), i), F.lit(0), step)
-        ).alias("start"),
-        F.get(m["hits"], i).alias("hit"),
-        F.length(F.get(m["vals"], i)).alias("n"),
-    )
-    found = F.transform(F.sequence(F.lit(0), F.size(m["hits"]) - 1), span)
+    # before hit i stand i + 1 gaps and i hits
+    steps = F.zip_with(m["hits"], F.slice(m["gaps"], F.lit(2), F.size(m["hits"])), lambda h, g: F.length(h) + F.length(g))
+    starts = F.transform(running(steps), lambda x: x + F.length(F.get(m["gaps"], F.lit(0))))
+    found = F.transform(F.arrays_zip(starts.alias("start"), m["hits"].alias("hit"), m["vals"].alias("val")), lambda x: F.struct(x["start"].alias("start"), x["hit"].alias("hit"), F.length(x["val"]).alias("n")))
     kept = F.transform(
         F.filter(found, lambda s: s["n"] >= rule.least),
         lambda s: F.struct(s["start"].alias("start"), (s["start"] + F.length(s["hit"])).alias("end"), F.lit(rule.kind).alias("kind")),
@@ -160,9 +143,9 @@ def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...]
     ids share one posting; each of their rows is verified by itself.
     """
     index = postings(docs.select("doc_id", "text"), rules)
-    hit = small(candidates(index, rules).persist())
+    hit = small(publish(candidates(index, rules), "secret_candidates"))
     rows = docs.select("doc_id", text_of().alias("text"), *keep).join(hit, "doc_id", "left")
-    every = sum(1 << i for i, r in enumerate(rules) if not r.query())
+    every = sum(1 << i for i, r in enumerate(rules) if r.query() is None)
     mask = F.when(F.col("doc_id").isNull(), F.lit((1 << len(rules)) - 1)).otherwise(
         F.coalesce(F.col(WORKING), F.lit(0)).bitwiseOR(F.lit(every))
     )
@@ -200,19 +183,24 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every found span's text replaced by ``mark``; overlapping spans become one."""
+    """``docs`` with every found span's text replaced by ``mark``; overlapping spans become one.
+
+    Null and empty texts stay as they are, repeated rows and null ids are treated like any other,
+    and an empty table stays empty.  The time is linear in the length of a text and in its spans.
+    """
     rows = find(docs.select("doc_id", "text", packed(docs).alias("row")), keep=("row",))
     spans = F.array_sort(F.flatten(F.array(*[F.col(f"found.{r.kind}") for r in RULES])))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(
-            F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
+    def cut(text: Column) -> Column:
+        """(start, end) -> that part of a text known by its blocks."""
+        return lambda a, b: F.substring(F.array_join(F.slice(text, F.floor(a / TEXT_BLOCK).cast("int") + 1, F.floor(b / TEXT_BLOCK).cast("int") - F.floor(a / TEXT_BLOCK).cast("int") + 1), ""), (a % TEXT_BLOCK).cast("int") + 1, b - a)
+
+    def clean(s: Column, text: Column) -> Column:
+        done = running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b))  # where the spans before end
+        piece = lambda x, at: F.when(x["start"] >= at, F.concat(cut(text)(at, x["start"]), F.lit(mark))).otherwise("")
+        end = F.array_max(F.transform(s, lambda x: x["end"]))
+        return F.concat(F.array_join(F.zip_with(s, done, piece), ""), cut(text)(end, F.length("text")))
 
-    done = F.aggregate(spans, start, step)
-    rows = rows.withColumn("done", F.when(F.size(spans) > 0, done))
-    text = F.coalesce(F.concat(F.col("done.out"), F.substring(F.col("text"), F.col("done.at") + 1, F.length("text"))), F.col("row.text"))
-    return unpacked(rows, docs.columns, text=text)
+    blocks = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+    done = F.when(F.size(spans) > 0, _bound(spans, lambda s: _bound(blocks, lambda t: clean(s, t)))).otherwise(F.col("row.text"))
+    return unpacked(rows, docs.columns, text=done)
