@@ -25,11 +25,13 @@ def enabled(config: dict) -> list[str]:
 
 
 def aliases(config: dict) -> dict[str, str]:
-    """Alias (normalised) to canonical name, the names themselves included."""
+    """Alias (normalised) to canonical name, the names themselves included; of two names of one alias the
+    later one counts, and blank aliases do not."""
     out = {}
     for name, entry in config["skills"].items():
-        for a in (name, *entry.get("aliases", [])):
-            out.setdefault(" ".join(str(a).lower().split()), name)
+        for a in (name, *((entry or {}).get("aliases") or [])):
+            if plain := " ".join(str(a).lower().split()):
+                out[plain] = name
     return out
 
 
