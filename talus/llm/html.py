@@ -9,6 +9,7 @@ The model is fitted on pages that a generator writes, whose article nodes are kn
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -19,15 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches
+from talus.llm.common import batches, sliced
 
 UNSEEN = {"script", "style", "noscript", "template", "head", "title", "iframe", "svg", "object", "canvas", "math", "audio", "video", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
+#: Elements that may stand in a head; anything else begins the body.
+HEADED = {"base", "link", "meta", "noscript", "script", "style", "template", "title"}
+#: Foreign content ends where one of these begins.
+BREAKS = {"blockquote", "body", "center", "div", "dl", "h1", "h2", "h3", "h4", "h5", "h6", "li", "main", "nav", "ol", "p", "pre", "section", "article", "aside", "footer", "header", "table", "ul"}
 GROUPS = (
-    ("nav", "menu"), ("header",), ("footer",), ("aside", "dialog"), ("form", "button", "select", "textarea", "label", "fieldset", "option", "legend", "output"),
+    ("nav", "menu"), ("header",), ("footer",), ("aside", "dialog"), ("button", "select", "textarea", "label", "fieldset", "option", "legend", "output"),
     ("article", "main"), ("section", "div", "center"), ("p",), ("h1", "h2", "h3", "h4", "h5", "h6"), ("li", "ul", "ol", "dl", "dt", "dd"),
-    ("table", "tr", "td", "th", "tbody", "thead", "caption"), ("blockquote", "pre", "figure", "figcaption", "address"), ("html", "body", "#run"),
+    ("table", "tr", "td", "th", "tbody", "thead", "caption"), ("blockquote", "pre", "figure", "figcaption", "address"), ("html", "body", "#run"), ("form",),
 )
 TOKENS = (
     ("ad", "ads", "advert", "advertisement", "adbox", "sponsor", "sponsored", "promo", "promotion", "banner", "adsense"),
@@ -65,8 +70,9 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.stack: list[tuple[str, Node]] = [("html", self.root)]
+        self.open: Counter[str] = Counter()
         self.hidden: list[str] = []
-        self.links = 0
+        self.links, self.ended = 0, False
 
     @property
     def block(self) -> Node:
@@ -75,15 +81,29 @@ class Builder(HTMLParser):
     def updatepos(self, i, j):  # line numbers are not asked for
         return j
 
+    def parse_html_declaration(self, i):
+        """Past a declaration, comment or marked section of any kind (one without an end hides the rest);
+        -1 if more of the page may end it."""
+        raw = self.rawdata
+        if raw.startswith("<!--", i):
+            at = self.parse_comment(i)
+            return len(raw) if at < 0 and self.ended else at
+        end = "]]>" if raw.startswith("<![CDATA[", i) else ">"
+        at = raw.find(end, i)
+        return at + len(end) if at >= 0 else len(raw) if self.ended else -1
+
+    def close(self):
+        self.ended = True
+        super().close()
+
     def handle_starttag(self, tag, attrs):
         if self.hidden:
-            if tag == self.hidden[-1] and tag not in VOID:
-                self.hidden.append(tag)
-            elif tag == "body":
+            top = self.hidden[-1]
+            if top == "head" and tag not in HEADED and tag != "head" or tag == "body" or top in ("svg", "math") and tag in BREAKS:
                 self.hidden.clear()
             else:
-                return
-            if self.hidden:
+                if tag not in VOID and (tag == top or top == "head" and tag in UNSEEN):
+                    self.hidden.append(tag)
                 return
         if tag in UNSEEN:
             self.hidden.append(tag)
@@ -96,7 +116,7 @@ class Builder(HTMLParser):
             return
         if tag in INLINE:
             self.links += tag == "a"
-            self.stack.append((tag, self.block))
+            self._push(tag, self.block)
             return
         own = CLOSES.get(tag)
         self._close({"p"} | own if own else {"p"}, STOPS - own if own else STOPS)
@@ -105,23 +125,40 @@ class Builder(HTMLParser):
         words = " ".join(v for k, v in attrs if v and k in ("class", "id", "role", "itemprop", "aria-label"))
         node = Node(tag, words, self.block)
         self.block.children.append(node)
-        self.stack.append((tag, node))
+        self._push(tag, node)
+
+    def handle_startendtag(self, tag, attrs):
+        """A slash closes foreign elements only; elsewhere it says nothing."""
+        if not (tag in ("svg", "math") or self.hidden and self.hidden[-1] in ("svg", "math")):
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
         if self.hidden:
-            if tag == self.hidden[-1] or tag == "head":
+            if tag == self.hidden[-1]:
                 self.hidden.pop()
+            elif tag in self.hidden:
+                del self.hidden[self.hidden.index(tag) :]
+            elif self.open[tag] and tag not in INLINE:  # what hides was left open inside this element
+                self.hidden.clear()
+                self.handle_endtag(tag)
             return
-        if any(t == tag for t, _ in self.stack[1:]):
+        if self.open[tag]:
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
 
+    def _push(self, tag: str, node: Node):
+        self.stack.append((tag, node))
+        self.open[tag] += 1
+
     def _pop(self):
         tag, _ = self.stack.pop()
+        self.open[tag] -= 1
         self.links -= tag == "a"
 
     def _close(self, tags: set[str], stop: set[str]):
+        if not any(self.open[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] in tags:
                 while len(self.stack) > i:
@@ -131,6 +168,8 @@ class Builder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.hidden == ["head"] and data.strip():  # text begins the body
+            self.hidden.clear()
         if not self.hidden:
             self._text(data)
 
@@ -306,9 +345,8 @@ def _mark(r: random.Random, kind: int) -> str:
     return f' {r.choice(["class", "class", "id"])}="{word}{r.choice(["", "-box", " x1", "-" + str(r.randint(1, 9))])}"'
 
 
-def training_page(seed: int) -> str:
-    """A page whose article blocks carry ``data-main``: many layouts, one article or none."""
-    r = random.Random(seed)
+def _framed(r: random.Random) -> str:
+    """A page with an article element, or a block in its place, among menus, notices and the like."""
     main = ' data-main="1"'
 
     def para() -> str:
@@ -355,6 +393,43 @@ def training_page(seed: int) -> str:
     return "<!DOCTYPE html><html><head><title>x</title><script>var t='</p>';</script></head><body>" + "".join(before) + article + "".join(after) + ("</body></html>" if r.random() < 0.9 else "")
 
 
+def _bare(r: random.Random) -> str:
+    """Pages without an article element: loose paragraphs, text parted by line ends, tables as layout,
+    blocks whose names say nothing, a form around all, plain text."""
+    main = ' data-main="1"'
+    name = lambda: r.choice(["", f' class="{r.choice("cxzjk")}{r.randint(1, 99)}"', f' id="b{r.randint(1, 99)}"', ' class="row"', ' class="col wrap"'])
+    links = lambda sep, n: sep.join(f'<a href="/{i}">{_words(r, 1, 3)}</a>' for i in range(n))
+    para = lambda: f"<p{main}>{_words(r, *r.choice([(2, 6), (8, 30), (30, 90)]))}</p>"
+    lines = lambda: "<br><br>".join(_words(r, 10, 60) for _ in range(r.randint(1, 5)))
+    title = f"<h1{main}>{_words(r, 2, 9)}</h1>" if r.random() < 0.7 else ""
+    item = lambda: r.choices([para(), f"<h2{main}>{_words(r, 1, 6)}</h2>", f"<ul{main}>" + "".join(f"<li{main}>{_words(r, 3, 15)}</li>" for _ in range(r.randint(2, 5))) + "</ul>", f"<blockquote{main}>{_words(r, 8, 30)}</blockquote>", f"<figure{main}><figcaption{main}>{_words(r, 4, 14)}</figcaption></figure>"], [10, 1, 1, 0.5, 0.3])[0]
+    text = title + "".join(item() for _ in range(r.randint(2, 10)))
+    menu = r.choice([f"<div{name()}>{links(' | ', r.randint(3, 8))}</div>", f"<ul{name()}>" + "".join(f"<li>{links('', 1)}</li>" for _ in range(r.randint(3, 8))) + "</ul>", f"<p>{links(' - ', 4)}</p>", "", f"<div{_mark(r, 1)}>{links(' ', 5)}</div>"])
+    end = r.choice(["", f"<div{name()}>&copy; 20{r.randint(10, 30)} {_words(r, 1, 4)} {links(' ', 3)}</div>", f"<div{_mark(r, 2)}>{_words(r, 3, 12)}</div>", f"<footer>{_words(r, 3, 12)}</footer>", f"<div{_mark(r, 4)}><p>{_words(r, 5, 30)}</p><p>{_words(r, 5, 30)}</p></div>"])
+    kind = r.randrange(7)
+    if kind == 0:
+        inner = menu + text + end
+    elif kind == 1:
+        inner = f"{menu}<div{name()}{main}>{lines()}</div>{end}"
+    elif kind == 2:
+        inner = f"<table><tr><td{name()} width=150>{links('<br>', r.randint(4, 9))}</td><td{name()}{main}>{r.choice([text, lines()])}</td></tr></table>{end}"
+    elif kind == 3:
+        inner = f"<div{name()}>{menu}<div{name()}><div{name()}>{text}</div></div>{end}</div>"
+    elif kind == 4:
+        inner = f'<form method="post" action="./{name()[1:2]}" id="form1"><input type="hidden" name="s" value="x">{menu}<div{name()}>{text}</div><label>{_words(r, 1, 2)}</label><button>{_words(r, 1, 2)}</button>{end}</form>'
+    elif kind == 5:
+        inner = text
+    else:
+        return r.choice([f"<div{main}>{lines()}</div>", text, f"<body{main}><pre{main}>{_words(r, 10, 80)}</pre>"])
+    return r.choice(["<html><head><title>x</title></head><body>", "<title>x</title>", "<!DOCTYPE html><html><head><meta charset=utf-8><title>x</title><body>"]) + inner
+
+
+def training_page(seed: int) -> str:
+    """A page whose article blocks carry ``data-main``: many layouts, one article or none."""
+    r = random.Random(seed)
+    return _bare(r) if seed % 3 == 2 else _framed(r)
+
+
 class _Known(Builder):
     """A builder that notes which nodes the generator marked."""
 
@@ -365,7 +440,7 @@ class _Known(Builder):
 
 
 @lru_cache(maxsize=2)
-def model(pages: int = 700) -> Trees:
+def model(pages: int = 1200) -> Trees:
     """The fitted trees (the same at every call): ``pages`` generated pages, a bounded sample."""
     xs, ys = [], []
     for seed in range(pages):
@@ -416,11 +491,11 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
 
     A null or empty html, and a page without an article, have an empty text.
     """
-    batches(pages.sparkSession, 500)
+    batches(pages.sparkSession)
     shared = pages.sparkSession.sparkContext.broadcast(trees or model())
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in sliced(parts, "html"):
             found = texts(b.column("html").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
