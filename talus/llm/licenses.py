@@ -51,6 +51,14 @@ NOTICES = (
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
@@ -169,7 +177,12 @@ def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Documents that hold a license notice: doc_id, licenses (names by order, comma-joined),
-    n_notices, best_dice.  Rows of one id count together; texts without a notice have no row."""
+    n_notices, best_dice.
+
+    Rows of one id (null ids too) count together; null and empty texts and those without a notice have
+    no row, and an empty table gives none.  A text is read once, whole, however long: only bigrams of
+    templates start a window, so that the work beyond reading is in proportion to notices and not to the text.
+    """
     found = matches(docs.select("doc_id", text_of().alias("text")), templates, threshold)
     return found.groupBy("doc_id").agg(
         F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
