@@ -83,11 +83,17 @@ def batches(spark: SparkSession, rows: int = SLICE_ROWS) -> None:
         spark.conf.set(BATCH, str(rows))
 
 
-def sliced(parts: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+def column(b: pa.RecordBatch, path: str) -> pa.Array:
+    """A column, or a field of one (``row.text``)."""
+    name, _, of = path.partition(".")
+    return b.column(name).field(of) if of else b.column(name)
+
+
+def sliced(parts: Iterator[pa.RecordBatch], path: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of ``parts`` in slices of at most SLICE_ROWS rows and, but for a single longer
-    text, SLICE_BYTES of ``column``: what a worker holds unpacked is bounded by bytes, not by rows."""
+    text, SLICE_BYTES of the column ``path``: what a worker holds unpacked is bounded by bytes, not by rows."""
     for b in parts:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column(b, path)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at, n = 0, b.num_rows
         while at < n:
             before = int(ends[at - 1]) if at else 0

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talus.llm.common import batches, packed, power_of_two, sliced, unpacked
+from talus.llm.common import batches, column, packed, power_of_two, sliced, unpacked
 
 SIZES = (1, 2, 3, 4)
 HASHES = 3
@@ -155,16 +155,18 @@ def decide(text: str | None, model: Model) -> tuple[str, float]:
     return model.languages[best], round(float(s[best]), 6)
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep`` columns and lang_pred, score for every row, of the text alone."""
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), text: str = "text") -> DataFrame:
+    """``keep`` columns and lang_pred, score for every row, of the text alone (``text``: its column, or
+    ``row.text`` for the field of a kept column)."""
     batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*keep, F.col("text").alias("__text"))
-    schema = T.StructType(kept.schema.fields[:-1]).add("lang_pred", "string").add("score", "double")
+    kept = docs.select(*keep) if "." in text else docs.select(*keep, F.col(text).alias("__text"))
+    path = text if "." in text else "__text"
+    schema = T.StructType([kept.schema[c] for c in keep]).add("lang_pred", "string").add("score", "double")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(parts, "__text"):
-            found = [decide(t, shared.value) for t in b.column("__text").to_pylist()]
+        for b in sliced(parts, path):
+            found = [decide(t, shared.value) for t in column(b, path).to_pylist()]
             cols = [b.column(c) for c in keep] + [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, [*keep, "lang_pred", "score"])
 
@@ -187,6 +189,5 @@ def accepted(docs: DataFrame, model: Model | None = None, least: float = KEEP_SC
     Null texts and those without letters go; repeated rows and null ids are judged like any other;
     an empty table stays empty.
     """
-    rows = docs.select("text", packed(docs).alias("row"))
-    found = predict(rows, model or fit(docs), ("row",))
+    found = predict(docs.select(packed(docs).alias("row")), model or fit(docs), ("row",), "row.text")
     return unpacked(found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)), docs.columns)

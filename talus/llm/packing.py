@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talus.llm.common import batches, publish, text_of
+from talus.llm.common import batches, publish, sliced, text_of
 
 CAPACITY = 2048
 GRAIN = 64
@@ -77,8 +77,8 @@ class Encoder:
         for c in fresh.difference(plain):
             self.known[c] = self.one(c)
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
+    def encode_batch(self, texts: list[str], remembered: int = REMEMBERED) -> list[bytes]:
+        if len(self.known) > remembered:
             self.known = {}
         split = [self.chunks(t) for t in texts]
         self.learn(set().union(*split).difference(self.known))
@@ -125,16 +125,16 @@ def cuts(n: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
     return [capacity] * full + [x for x in (body, rest - body) if x]
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, grain: int = GRAIN, remembered: int = REMEMBERED) -> DataFrame:
     """The pieces of all documents, each with its place (nth) among its length in its part."""
     batches(docs.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), {}
         end = np.array([END_ID], "<u4").tobytes()
-        for b in parts:
+        for b in sliced(parts):
             rows = []
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder(path).encode_batch(b.column("text").to_pylist())):
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder(path).encode_batch(b.column("text").to_pylist(), remembered)):
                 ids, at = memoryview(ids + end), 0
                 total = len(ids) // 4
                 for n in cuts(total, capacity, grain):
@@ -241,13 +241,14 @@ def runs(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return out
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, grain: int = GRAIN, remembered: int = REMEMBERED) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    ``remembered`` chunks a worker at most: memory against time, whatever it is the rows are the same.
 
     A null or empty text is its end id alone.  Repeated rows are packed each by itself.
     """
     spark = docs.sparkSession
-    rows = publish(pieces(docs, path, capacity, grain), "pieces")
+    rows = publish(pieces(docs, path, capacity, grain, remembered), "pieces")
     held = publish(rows.groupBy("length", "part").agg(F.count("*").alias("held")), "held")
     before = F.sum("held").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     base = held.select(F.col("length").alias("__length"), F.col("part").alias("__part"), F.coalesce(before, F.lit(0)).alias("before"))
