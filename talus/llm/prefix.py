@@ -34,6 +34,8 @@ SKETCH = 64
 CHUNK = 1 << 20
 #: Text of a partition, about, in code points; partitions at most (longer ones then); rows sampled for each.
 PART_CHARS, PARTS, SAMPLED = 6_000_000, 20_000, 40
+#: What a row counts beside its text.
+ROW_CHARS = 16
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, lce_edited long"
 
 
@@ -172,14 +174,15 @@ def cuts(rows: DataFrame, part_chars: int = PART_CHARS) -> list[tuple[int, int,
     They are taken from a sample by hash, in proportion to the length of texts, of about SAMPLED rows a
     range: they only deal out the work, and any of them is right.
     """
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = F.length("text") + ROW_CHARS
+    total = rows.agg(F.sum(size)).first()[0] or 0
     parts = min(PARTS, total // part_chars + 1)
     if parts < 2:
         return []
     step = total / (parts * SAMPLED)
     draw = F.pmod(F.xxhash64(F.lit("cut"), "place"), F.lit(1 << 30)) / float(1 << 30)
-    weight = F.greatest(F.length("text").cast("double"), F.lit(step))
-    found = sorted((tuple(r[0]), r[1]) for r in rows.where(draw < F.length("text") / step).select("place", weight).collect())
+    weight = F.greatest(size.cast("double"), F.lit(step))
+    found = sorted((tuple(r[0]), r[1]) for r in rows.where(draw < size / step).select("place", weight).collect())
     if not found:
         return []
     upto = np.cumsum([w for _, w in found])
