@@ -18,7 +18,6 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from talus.llm.common import batches, sliced
 
