@@ -18,12 +18,13 @@ from struct import pack
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from talus.llm.common import batches, text_of
+from talus.llm.common import batches, sliced, text_of
 
 #: Words and spaced chunks that a Python worker remembers before it starts afresh.
 REMEMBERED = 500_000
+#: Characters that stand for the suffix and for no match; byte-level words hold neither.
+END, NONE = "\x00", "\x01"
 #: What the vocabulary's own splitting does to lower-cased printable ASCII without spaces.
 PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
@@ -33,6 +34,7 @@ class Coder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.models import WordPiece
 
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
@@ -42,13 +44,20 @@ class Coder:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text = {i: t for t, i in {**self.vocab, **self.special}.items()}
         self.longest = max(map(len, self.vocab))
+        # the library's greedy matcher, with one character for the suffix, which no word holds
+        marked = {t[: -len(self.suffix)] + END if self.suffix and t.endswith(self.suffix) else t: i for t, i in self.vocab.items()}
+        self.none = len(self.vocab) + len(self.special)
+        self.greedy = WordPiece({**marked, NONE: self.none}, unk_token=NONE, max_input_chars_per_word=100)
+        self.greedy.continuing_subword_prefix = ""
         whole = Tokenizer.from_file(path)
         self.model = whole.model
         self.normalise, self.split = whole.normalizer.normalize_str, whole.pre_tokenizer.pre_tokenize_str
         self.judged = np.zeros(0, np.int64)  # sorted codes of judged pairs
         self.good = np.zeros(0, bool)
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[bytes, bytes]] = {}
+        #: of each word its ids and, with a space behind, its decoded text
+        self.words: dict[str, tuple[bytes, bytes]] = {}
+        #: the same of each chunk
+        self.ids, self.said = {"": b""}, {"": b""}
         self.exact_words = 0
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -81,6 +90,11 @@ class Coder:
 
     def propose(self, word: str) -> list[int] | None:
         """Greedy longest match over the word with its suffix."""
+        out = [t.id for t in self.greedy.tokenize(word + END if self.suffix else word)]
+        return self.walk(word) if not out or self.none in out else out
+
+    def walk(self, word: str) -> list[int] | None:
+        """Greedy longest match that leaves the last character to a token with the suffix; None if there is none."""
         out, at, n, vocab = [], 0, len(word), self.vocab
         while at < n:
             t = vocab.get(word[at:] + self.suffix) if n - at < self.longest else None
@@ -124,10 +138,13 @@ class Coder:
             if fails or p[0] < 0:
                 self.exact_words += 1
                 p = self.exact(w)
-            self.words[w] = p
+            self.words[w] = self.coded(p)
         if len(self.judged) > 4 * REMEMBERED:
             self.judged, self.good = self.judged[:0], self.good[:0]
 
+    def coded(self, ids) -> tuple[bytes, bytes]:
+        return pack(f"<{len(ids)}I", *ids), (" ".join([self.text[i] for i in ids]) + " ").encode("utf-8")
+
     def pieces(self, chunk: str) -> list[str | int]:
         """A chunk's words, and ids of special tokens written out in it."""
         if chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
@@ -146,19 +163,20 @@ class Coder:
 
     def encode_batch(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """For each text its ids (little-endian unsigned 32-bit) and its decoded UTF-8 text."""
-        if len(self.words) > REMEMBERED or len(self.chunks) > REMEMBERED:
-            self.words, self.chunks = {}, {}
+        if len(self.words) > REMEMBERED or len(self.ids) > REMEMBERED:
+            self.words, self.ids, self.said = {}, {"": b""}, {"": b""}
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = {c: self.pieces(c) for c in set().union(*split).difference(self.chunks) if c}
+        fresh = {c: self.pieces(c) for c in set().union(*split).difference(self.ids)}
         self.learn(sorted({w for ws in fresh.values() for w in ws if isinstance(w, str) and w not in self.words}))
+        words = self.words
         for c, ws in fresh.items():
-            ids = self.words[ws[0]] if len(ws) == 1 and isinstance(ws[0], str) else [i for w in ws for i in (self.words[w] if isinstance(w, str) else (w,))]
-            self.chunks[c] = pack(f"<{len(ids)}I", *ids), " ".join([self.text[i] for i in ids]).encode("utf-8")
-        out = []
-        for parts in split:
-            got = [self.chunks[c] for c in parts if c]
-            out.append((b"".join([x[0] for x in got]), b" ".join([x[1] for x in got if x[1]])))
-        return out
+            got = [words[w] if isinstance(w, str) else self.coded((w,)) for w in ws]
+            if len(got) == 1:
+                self.ids[c], self.said[c] = got[0]
+            else:
+                self.ids[c], self.said[c] = b"".join([x[0] for x in got]), b"".join([x[1] for x in got])
+        ids_of, said_of = self.ids.__getitem__, self.said.__getitem__
+        return [(b"".join(map(ids_of, parts)), b"".join(map(said_of, parts))[:-1]) for parts in split]
 
     def decode(self, ids: bytes) -> str:
         """The tokens' strings joined by spaces (what a file without a decoder says)."""
@@ -192,7 +210,7 @@ def _run(docs: DataFrame, path: str, schema: str, of) -> DataFrame:
     names = [x.strip().split(" ")[0] for x in schema.split(",")]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
+        for b in sliced(parts):
             rows = [of(*x) for x in coder(path).encode_batch(b.column("text").to_pylist())]
             cols = [pa.array(c) if rows else pa.array([]) for c in zip(*rows)]
             if rows:
