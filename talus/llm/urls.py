@@ -10,12 +10,10 @@ import random
 from functools import lru_cache
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talus.llm.common import publish
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SIZES = (3, 4, 5)
 BUCKETS = 2048
@@ -93,14 +91,16 @@ def buckets(text: Column) -> Column:
 
 @lru_cache(maxsize=4)
 def _fit(rows: tuple[tuple[str, float], ...]) -> tuple[float, tuple[float, ...]]:
+    if not rows:  # nothing learned: nothing is blocked
+        return -20.0, (0.0,) * BUCKETS
     spark = SparkSession.active()
     table = spark.createDataFrame(list(rows), "url string, label double")
     host, path = host_and_path(F.col("url"))
     share = sum(y for _, y in rows) / max(1, len(rows))
     weight = F.when(F.col("label") == 1, 0.5 / max(share, 1e-3)).otherwise(0.5 / max(1 - share, 1e-3))  # both labels count alike
-    hits = publish(table.select("label", weight.alias("weight"), buckets(F.concat(host, path)).alias("b")), "labelled_urls")
-    dense = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.array_contains(F.col("b"), i).cast("double"))
-    model = LogisticRegression(regParam=REG, maxIter=60, standardization=False, weightCol="weight").fit(hits.select("label", "weight", array_to_vector(dense).alias("features")).coalesce(1))
+    hits = table.select("label", weight, F.array_sort(F.array_distinct(buckets(F.concat(host, path))))).collect()  # FIT_ROWS at most
+    found = spark.createDataFrame([(y, w, Vectors.sparse(BUCKETS, b, [1.0] * len(b))) for y, w, b in hits], ["label", "weight", "features"])
+    model = LogisticRegression(regParam=REG, maxIter=60, standardization=False, weightCol="weight").fit(found.coalesce(1))
     return float(model.intercept), tuple(round(float(x), 9) for x in model.coefficients.toArray())
 
 
