@@ -1,22 +1,26 @@
-"""Near copies by Jaccard similarity of 5-word shingles, for stages that drop rows.
-
-Texts of one set of shingles are one member.  Members meet by several fingerprints: each is
-BANDS keys of ROWS minima, and two members meet if a key is equal; at a similarity of LEAST
-they miss each other with a probability of ``(1 - LEAST**ROWS)**BANDS`` (1.4e-7).  Whoever
-meets is verified by the shingles themselves, so no other pair is ever linked.
-
-Few of those that meet are compared, and every discard is exact:
-
+"""SimHash near copies, for stages that drop rows: pivot tables of wide fingerprints, verified by
+Jaccard similarity of 5-word shingles.
+
+Texts of one set of shingles are one member.  A fingerprint is WORDS fingerprints of 64 bits, each by
+hashes of its own: bit i is set if it is set in over half of the shingles' hashes.  At a similarity of LEAST
+a bit differs with a probability of 0.16 at most (0.19 for sets of four and five shingles), so two members
+meet by blocks of the fingerprint: each key is one block of BLOCK bits, and those that agree in any block meet.
+Of BLOCKS blocks (SHORT_BLOCKS for the short sets) a pair of similarity LEAST shares none with a probability
+of 2e-8 (2.5e-8).  The blocks are the blocking step; pivots discard, and shingles verify.
+
+* Sets of fewer than four shingles have no near copy but equal ones.  A sample of each longer set's shingles, ASKED
+  and more or all, is looked for in the other sets: whoever shares less than a fifth of it (of a near copy
+  four fifths are shared; this misses one with a probability of 1e-9) is not fingerprinted.
 * A shingle that no other member holds is shared with nobody.  Members left with less than LEAST
-  of their shingles are out (those that merely hold a common passage are), and a pair that is out
-  by the smaller rest too.
-* Each key has a pivot, the member that meets most others, and a pivot table: what each member has
-  in common with the pivot.  Members near the pivot form one class with it and need no comparison
-  among each other.
+  of their shingles are out, and a pair that is out by the smaller rest too (exact).
+* Each key has a pivot, the member that meets most others.  The pivot table holds the distance of each member's
+  fingerprint to its pivots'.  Beyond RADIUS (over nine standard deviations) a pair is discarded, and
+  two other members of a key whose distances to its pivot differ by more (triangle inequality).  Within it the shingles
+  are compared; members near the pivot form one class with it and need no comparison among each other.
 * Two other members share at most the smaller of what they have in common with the pivot and the smaller
-  of what they share with anybody else; pairs for which that is too little are discarded.
+  of what they share with anybody else; pairs for which that is too little are discarded (exact).
 
-A pair is compared under the least key that it shares.  So classes are those of all pairs that meet.
+So no other pair is ever linked, and classes are those of all pairs that meet.
 """
 
 from __future__ import annotations
@@ -33,10 +37,17 @@ from talus.llm.common import batches, numbered, publish, release, sliced, small,
 from talus.llm.simhash import components
 
 SIZE, LEAST = 5, 0.8
-BANDS, ROWS = 30, 4
+#: Fingerprints of 64 bits in a member's fingerprint, bits that differ between near copies at most.
+WORDS, RADIUS = 32, 553
+#: Bits of a block; blocks of a member, and of one of at most SHORT shingles.
+BLOCK, BLOCKS, SHORT, SHORT_BLOCKS = 20, 800, 5, 1600
+#: Shingles of a set that are looked for in others: so many or up to twice as many, on average.
+ASKED = 32
+#: Rows of fingerprints up to which they are broadcast (about 300 bytes a row).
+BROADCAST_PRINTS = 50_000
 _R = np.random.default_rng(42)
-_FACTORS = _R.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-_MIX = _R.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+_LANES = _R.integers(0, 1 << 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
+_BITS = np.array([_R.choice(64 * WORDS, BLOCK, replace=False) for _ in range(SHORT_BLOCKS)])
 
 
 def shingles(text: str | None) -> set[bytes]:
@@ -53,31 +64,59 @@ def hashes(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)))
 
 
-def keys(h: np.ndarray) -> np.ndarray:
-    """A key for each band: its minima mixed into one number."""
-    if not len(h):
-        return np.zeros(0, np.int64)
-    low = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(h), 512):
-        low = np.minimum(low, (h[at : at + 512, None] * _FACTORS).min(axis=0))
-    x = low.reshape(BANDS, ROWS)
-    return ((x ^ (x >> np.uint64(29))) * _MIX).sum(axis=1, dtype=np.uint64).view(np.int64)
+def fingerprint(h: np.ndarray) -> np.ndarray:
+    """The bits of WORDS fingerprints: set if set in over half of the hashes of a lane."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(h), 255):  # a byte counts so many
+        x = h[at : at + 255, None] + _LANES
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return 2 * ones > len(h)
+
+
+def keys(bits: np.ndarray, n: int) -> np.ndarray:
+    """A key for each block of the fingerprint of n shingles: the block's number and bits."""
+    many = SHORT_BLOCKS if n <= SHORT else BLOCKS
+    return (np.arange(many) << BLOCK) + bits[_BITS[:many]] @ (1 << np.arange(BLOCK))
+
+
+def sample(h: np.ndarray) -> tuple[np.ndarray, int]:
+    """The hashes (halved) to be found by others, and how many of them, the first, to look for.  Sets that
+    may be near differ by less than a factor of two in size: what one looks for, the other one shows."""
+    level = max(0, (len(h) // ASKED).bit_length() - 1)
+    half, most = h >> np.uint64(1), (1 << 63) - 1
+    upto = lambda k: int(np.searchsorted(half, np.uint64(most >> k), side="right"))
+    return half[: upto(max(0, level - 1))].view(np.int64), upto(level)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """doc_id, rid, digest of the shingles, their number and the keys of numbered rows, published."""
+    """doc_id, rid, digest of the shingles, their number and sample of numbered rows, published."""
     batches(rows.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(parts):
             found = [hashes(t) for t in b.column("text").to_pylist()]
+            shown = [sample(h) for h in found]
             cols = [
                 b.column("doc_id"), b.column("rid"), pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in found], pa.binary()),
-                pa.array([len(h) for h in found], pa.int32()), pa.array([keys(h) for h in found], pa.list_(pa.int64())),
+                pa.array([len(h) for h in found], pa.int32()), pa.array([x for x, _ in shown], pa.list_(pa.int64())), pa.array([k for _, k in shown], pa.int32()),
             ]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "rid", "digest", "n", "keys"])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "rid", "digest", "n", "shown", "asked"])
+
+    return publish(rows.mapInArrow(run, "doc_id long, rid long, digest binary, n int, shown array<long>, asked int"), "sketches")
 
-    return publish(rows.mapInArrow(run, "doc_id long, rid long, digest binary, n int, keys array<long>"), "sketches")
+
+def worth(one: DataFrame) -> DataFrame:
+    """rid of the sketches that may have a near copy, published."""
+    one = one.where(F.col("n") >= LEAST * (F.col("n") + 1) - 1e-9)
+    # the row and, in the last bit, whether it looks for the shingle
+    each = one.select(F.posexplode("shown").alias("at", "h"), (F.col("rid") * 2).alias("row"), "asked").select("h", (F.col("row") + (F.col("at") < F.col("asked")).cast("long")).alias("by"))
+    lone = each.groupBy("h").agg(F.min("by").alias("by"), F.max("by").alias("last")).where("by = last and by % 2 = 1")
+    lone = lone.groupBy(F.shiftright("by", 1).alias("rid")).agg(F.count("*").alias("alone"))
+    found = F.col("asked") - F.coalesce("alone", F.lit(0))
+    return publish(one.select("rid", "asked").join(small(publish(lone, "lone")), "rid", "left").where((found > 0) & (5 * found >= F.col("asked"))).select("rid"), "wanted")
 
 
 def sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -114,29 +153,53 @@ def shared(held: DataFrame) -> DataFrame:
     return publish(rows.select("rid", "n", own).where(F.col("own") >= LEAST * F.col("n") - 1e-9), "shared")
 
 
-def links(one: DataFrame, held: DataFrame) -> DataFrame:
-    """Links (a, b) among members (rid, keys) that connect exactly the near copies among those that meet."""
+def prints(held: DataFrame) -> DataFrame:
+    """rid, print (the fingerprint's words) and keys of sets, published."""
+    batches(held.sparkSession)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts:
+            sets_ = [x.values.to_numpy().view(np.uint64) for x in b.column("held")]
+            bits = [fingerprint(h) for h in sets_]
+            words = [np.packbits(x, bitorder="little").view("<i8") for x in bits]
+            each = [keys(x, len(h)) for x, h in zip(bits, sets_)]
+            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(words, pa.list_(pa.int64())), pa.array(each, pa.list_(pa.int64()))], ["rid", "print", "keys"])
+
+    return publish(held.mapInArrow(run, "rid long, print array<long>, keys array<long>"), "prints")
+
+
+def measured(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The published pairs (a, b) with the distance of their fingerprints."""
+    of = lambda name: small(members.select(F.col("rid").alias(name), F.col("print").alias(f"of_{name}")), limit=BROADCAST_PRINTS)
+    apart = [F.bit_count(F.get("of_a", F.lit(i)).bitwiseXOR(F.get("of_b", F.lit(i)))) for i in range(WORDS)]
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", sum(apart[1:], apart[0]).alias("distance"))
+
+
+def links(held: DataFrame) -> DataFrame:
+    """Links (a, b) among sets (rid, held) that connect exactly the near copies among those that meet."""
     own = shared(held)
-    one = one.join(small(own), "rid")
-    each = publish(one.select("rid", "n", "own", F.explode("keys").alias("key")), "members")
+    members = prints(held.join(small(own.select("rid")), "rid", "left_semi"))
+    each = members.select("rid", F.explode("keys").alias("key"))
     sizes = publish(each.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "sizes")
     met = publish(each.join(small(sizes), "key"), "met")
     company = met.groupBy("rid").agg(F.sum("many").alias("company"))
     ranked = met.join(small(publish(company, "company")), "rid")
-    pivots = publish(ranked.groupBy("key").agg(F.min(F.struct((-F.col("company")).alias("rank"), "rid", "n", "own")).alias("pivot")).select("key", "pivot.rid", "pivot.n", "pivot.own").toDF("key", "pivot", "pivot_n", "pivot_own"), "pivots")
+    pivots = publish(ranked.groupBy("key").agg(F.min(F.struct((-F.col("company")).alias("rank"), "rid")).alias("pivot")).select("key", F.col("pivot.rid").alias("pivot")), "pivots")
     led = publish(met.drop("many").join(small(pivots), "key").where("rid != pivot"), "led")
-    fits = F.least("own", "pivot_own") >= needed(F.col("n"), F.col("pivot_n"))
-    table = compared(publish(led.where(fits).select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct(), "to_pivots"), held)
-    near = table.where("near").select("a", "b")
+    sized = lambda name: small(own.select(F.col("rid").alias(name), F.col("n").alias(f"{name}_n"), F.col("own").alias(f"{name}_own")))
+    pairs = publish(led.select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct(), "to_pivots")
+    table = publish(measured(pairs, members).join(sized("a"), "a").join(sized("b"), "b"), "pivot_table")
+    fits = (F.col("distance") <= RADIUS) & (F.least("a_own", "b_own") >= needed(F.col("a_n"), F.col("b_n")))
+    verified = compared(publish(table.where(fits).select("a", "b"), "fitting"), held)
+    near = verified.where("near").select("a", "b")
     roots = publish(components(near), "labels")
     label = lambda rid, name: small(roots.select(F.col("node").alias(rid), F.col("root").alias(name)))
-    rows = led.join(label("rid", "r1"), "rid", "left").join(label("pivot", "r2"), "pivot", "left")
-    rows = rows.select("key", "rid", "n", "own", F.coalesce("r1", "rid").alias("label"), F.coalesce("r2", "pivot").alias("main"), "pivot")
-    rows = rows.join(small(table.select(F.col("a").alias("pivot"), F.col("b").alias("rid"), "both")), ["pivot", "rid"], "left").drop("pivot")
-    apart = publish(rows.where("label != main"), "apart")
-    keys_ = one.select("rid", "keys")
-    open_ = publish(rows.join(small(publish(apart.select("key").distinct(), "open")), "key", "left_semi"), "open_rows")
-    a, b = apart.join(keys_, "rid").alias("a"), open_.join(keys_, "rid").alias("b")
+    table = table.join(label("a", "r1"), "a", "left").join(label("b", "r2"), "b", "left").join(small(verified.drop("near")), ["a", "b"], "left")
+    table = publish(table.select(F.col("a").alias("pivot"), F.col("b").alias("rid"), "distance", "both", F.col("b_n").alias("n"), F.col("b_own").alias("own"), F.coalesce("r1", "a").alias("main"), F.coalesce("r2", "b").alias("label")), "labelled")
+    apart = publish(led.join(small(table.where("label != main")), ["pivot", "rid"]).drop("pivot"), "apart")
+    open_ = led.join(small(publish(apart.select("key").distinct(), "open")), "key", "left_semi")
+    open_ = publish(open_.join(small(table), ["pivot", "rid"]).drop("pivot"), "open_rows")
+    a, b = apart.alias("a"), open_.alias("b")
     need = needed(F.col("a.n"), F.col("b.n"))
     rest = lambda x: F.col(f"{x}.own") - F.col(f"{x}.both")
     on = (
@@ -144,12 +207,13 @@ def links(one: DataFrame, held: DataFrame) -> DataFrame:
         & (F.col("a.label") != F.col("b.label"))
         & ((F.col("b.label") == F.col("b.main")) | (F.col("a.rid") < F.col("b.rid")))
         & (F.least("a.own", "b.own") >= need)
+        & (F.abs(F.col("a.distance") - F.col("b.distance")) <= RADIUS)
         & F.coalesce(F.least("a.both", "b.both") + F.least(rest("a"), rest("b")) >= need, F.lit(True))
-        & (F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key"))
     )
-    left = publish(a.join(b, on).select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")), "left")
+    left = publish(a.join(b, on).select(F.least("a.rid", "b.rid").alias("a"), F.greatest("a.rid", "b.rid").alias("b")).distinct(), "left")
+    left = publish(measured(left, members).where(F.col("distance") <= RADIUS).select("a", "b"), "within")
     more = compared(left, held).where("near").select("a", "b")
-    for x in (each, sizes, met, led, apart, open_):
+    for x in (sizes, met, pivots, led, apart, open_):
         release(x)
     return near.unionByName(more)
 
@@ -160,12 +224,8 @@ def copies(rows: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid").alias("place")
     same = publish(seen.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("many")).where("many > 1"), "same")
     equal = publish(seen.join(small(same), "digest").where("rid != first.rid").select("rid"), "equal")
-    one = seen.join(small(equal), "rid", "left_anti")
-    shared_ = publish(one.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key"), "shared_keys")
-    wanted = one.select("rid", F.explode("keys").alias("key")).join(small(shared_), "key", "left_semi").select("rid").distinct()
-    wanted = publish(wanted, "wanted")
-    members = publish(one.join(small(wanted), "rid", "left_semi").select("rid", "keys"), "with_company")
-    under = components(links(members, sets(rows, wanted)))  # a class's least node is not among them
+    wanted = worth(seen.join(small(equal), "rid", "left_anti"))
+    under = components(links(sets(rows, wanted)))  # a class's least node is not among them
     roots = publish(under.unionByName(under.select(F.col("root").alias("node"), "root")).distinct(), "roots")
     of = roots.join(seen.select("doc_id", "rid"), F.col("node") == F.col("rid")).select("root", place)
     firsts = of.groupBy("root").agg(F.min("place").alias("first")).select(F.col("first.rid").alias("node"))

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from talus.llm import bpe, exact, html, language, licenses, packing, prefix, secrets, simhash, trigrams, urls
+from talus.llm import bpe, exact, html, language, licenses, packing, prefix, secrets, simhash, similar, trigrams, urls
 from talus.llm.queries import oracle_sql, vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, rid string, `__mask` string"
@@ -515,6 +515,50 @@ def test_pipeline_near_dedup(spark):
     assert corpus_pipeline.near_dedup(spark, df.limit(0), "").count() == 0
 
 
+def test_wide_fingerprints_are_simhash():
+    h = similar.hashes(" ".join(f"w{i}" for i in range(604)))
+    mask = (1 << 64) - 1
+    ones = [0] * (64 * similar.WORDS)
+    for x in h.tolist():
+        for w, lane in enumerate(similar._LANES.tolist()):
+            y = (x + lane) & mask
+            y = ((y ^ (y >> 30)) * 0xBF58476D1CE4E5B9) & mask
+            y = ((y ^ (y >> 27)) * 0x94D049BB133111EB) & mask
+            y ^= y >> 31
+            for i in range(64):
+                ones[64 * w + i] += y >> i & 1
+    bits = similar.fingerprint(h)
+    assert bits.tolist() == [2 * k > len(h) for k in ones]
+    many = similar.keys(bits, len(h))
+    assert len(set(many.tolist())) == similar.BLOCKS < len(similar.keys(bits, 5)) == similar.SHORT_BLOCKS
+
+
+def test_pipeline_near_dedup_goes_by_simhash(spark, monkeypatch):
+    import corpus_pipeline
+
+    r = random.Random(3)
+    base = [f"w{r.randrange(10**6)}" for _ in range(8)]
+    long = [f"v{r.randrange(10**6)}" for _ in range(450)]
+    # the least likeness that counts: four of five shingles, and 0.8 of many; the last one shares too few
+    rows = [(1, base), (2, [*base, "end"]), (3, long), (4, long[:362]), (5, long[:340])]
+    df = frame(spark, [(i, " ".join(w)) for i, w in rows])
+    assert [len(similar.shingles(" ".join(w))) for _, w in rows] == [4, 5, 446, 358, 336]
+    kept = lambda: {x["doc_id"] for x in corpus_pipeline.near_dedup(spark, df, "").collect()}
+    assert kept() == {1, 3}
+    monkeypatch.setattr(similar, "RADIUS", -1)
+    assert kept() == {1, 2, 3, 4, 5}
+
+
+def test_samples_show_what_near_copies_look_for():
+    r = random.Random(9)
+    for n in (1, 31, 63, 64, 127, 128, 1000, 5000):
+        h = np.unique(np.array([r.getrandbits(64) for _ in range(n)], np.uint64))
+        for other in (h, h[: -(n // 5) or None], np.unique(np.concatenate([h, np.array([r.getrandbits(64) for _ in range(n // 4)], np.uint64)]))):
+            (_, k), (shown, _) = similar.sample(h), similar.sample(other)
+            asked = similar.sample(h)[0][:k]
+            assert k >= min(n, 14) and set(asked.tolist()) & set((other >> np.uint64(1)).tolist()) <= set(shown.tolist())
+
+
 def test_links_by_pivots(spark):
     r = random.Random(7)
     fps = {r.getrandbits(64) for _ in range(40)}
