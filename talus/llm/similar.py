@@ -13,12 +13,13 @@ of 2e-8 (2.5e-8).  The blocks are the blocking step; pivots discard, and shingle
   four fifths are shared; this misses one with a probability of 1e-9) is not fingerprinted.
 * A shingle that no other member holds is shared with nobody.  Members left with less than LEAST
   of their shingles are out, and a pair that is out by the smaller rest too (exact).
-* Each key has a pivot, the member that meets most others.  The pivot table holds the distance of each member's
-  fingerprint to its pivots'.  Beyond RADIUS (over nine standard deviations) a pair is discarded, and
-  two other members of a key whose distances to its pivot differ by more (triangle inequality).  Within it the shingles
-  are compared; members near the pivot form one class with it and need no comparison among each other.
-* Two other members share at most the smaller of what they have in common with the pivot and the smaller
-  of what they share with anybody else; pairs for which that is too little are discarded (exact).
+* Each key has a pivot, the member with the fewest shingles of its own.  The pivot table holds for each member the distance
+  of its fingerprint to that of its first pivot, the one that it meets most often, and within RADIUS (over nine standard
+  deviations) the shingles that both hold.  Members near their pivots form classes, and nobody is compared within a class.
+* What is left are a key's pivot and the members of other classes, then these and whom they meet there.  Of two members of one
+  first pivot, a pair is discarded whose distances to it differ by more than RADIUS (triangle inequality), and one that cannot
+  share enough: at most the smaller of what they have in common with the pivot and the smaller of what they share
+  with anybody else (exact).
 
 So no other pair is ever linked, and classes are those of all pairs that meet.
 """
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talus.llm.common import batches, numbered, publish, release, sliced, small, without_rows
@@ -169,53 +170,76 @@ def prints(held: DataFrame) -> DataFrame:
 
 
 def measured(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The published pairs (a, b) with the distance of their fingerprints."""
+    """The published pairs (a, b) with the distance of their fingerprints, published."""
     of = lambda name: small(members.select(F.col("rid").alias(name), F.col("print").alias(f"of_{name}")), limit=BROADCAST_PRINTS)
     apart = [F.bit_count(F.get("of_a", F.lit(i)).bitwiseXOR(F.get("of_b", F.lit(i)))) for i in range(WORDS)]
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", sum(apart[1:], apart[0]).alias("distance"))
+    return publish(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", sum(apart[1:], apart[0]).alias("distance")), "measured")
+
+
+def labelled(rows: DataFrame, roots: DataFrame, **names: str) -> DataFrame:
+    """``rows`` with the class of each of the named columns of rids; a lone member is its own."""
+    for name, rid in names.items():
+        rows = rows.join(small(roots.select(F.col("node").alias(rid), F.col("root").alias(name))), rid, "left").withColumn(name, F.coalesce(name, rid))
+    return rows
+
+
+def meetings(members: DataFrame, own: DataFrame) -> DataFrame:
+    """key, rid and the key's pivot of the keys that two members or more hold, published.  One shuffle of the keys: a key's
+    rows are counted where they are sorted.  Pivots are the members with the fewest shingles of their own."""
+    rows = members.join(small(own), "rid").select("rid", (F.col("n") - F.col("own")).alias("alone"), F.explode("keys").alias("key"))
+    of = Window.partitionBy("key")
+    rows = rows.select("key", "rid", F.count("*").over(of).alias("many"), F.min(F.struct("alone", "rid")).over(of).alias("first"))
+    return publish(rows.where("many > 1").select("key", "rid", F.col("first.rid").alias("pivot")), "met")
+
+
+def possible(a: str, b: str) -> Column:
+    """Whether two members (n, own, and their first pivot with the distance to it and what they hold in common with it) may
+    be near copies that are not compared yet.  Every discard is exact, but for what RADIUS discards."""
+    of = lambda name: (F.col(f"{a}.{name}"), F.col(f"{b}.{name}"))
+    (n, m), (own, other), (first, second), (far, away), (both, common) = (of(x) for x in ("n", "own", "first", "distance", "both"))
+    need = needed(n, m)
+    reach = (F.abs(far - away) <= RADIUS) & F.coalesce(F.least(both, common) + F.least(own - both, other - common) >= need, F.lit(True))
+    asked = (F.col(f"{a}.rid") == second) | (F.col(f"{b}.rid") == first)
+    return (F.least(own, other) >= need) & ~F.coalesce(asked, F.lit(False)) & F.coalesce((first != second) | reach, F.lit(True))
 
 
 def links(held: DataFrame) -> DataFrame:
     """Links (a, b) among sets (rid, held) that connect exactly the near copies among those that meet."""
     own = shared(held)
     members = prints(held.join(small(own.select("rid")), "rid", "left_semi"))
-    each = members.select("rid", F.explode("keys").alias("key"))
-    sizes = publish(each.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"), "sizes")
-    met = publish(each.join(small(sizes), "key"), "met")
-    company = met.groupBy("rid").agg(F.sum("many").alias("company"))
-    ranked = met.join(small(publish(company, "company")), "rid")
-    pivots = publish(ranked.groupBy("key").agg(F.min(F.struct((-F.col("company")).alias("rank"), "rid")).alias("pivot")).select("key", F.col("pivot.rid").alias("pivot")), "pivots")
-    led = publish(met.drop("many").join(small(pivots), "key").where("rid != pivot"), "led")
-    sized = lambda name: small(own.select(F.col("rid").alias(name), F.col("n").alias(f"{name}_n"), F.col("own").alias(f"{name}_own")))
-    pairs = publish(led.select(F.col("pivot").alias("a"), F.col("rid").alias("b")).distinct(), "to_pivots")
-    table = publish(measured(pairs, members).join(sized("a"), "a").join(sized("b"), "b"), "pivot_table")
-    fits = (F.col("distance") <= RADIUS) & (F.least("a_own", "b_own") >= needed(F.col("a_n"), F.col("b_n")))
-    verified = compared(publish(table.where(fits).select("a", "b"), "fitting"), held)
+    met = meetings(members, own)
+    # the pivot that each member meets most often
+    most = met.where("rid != pivot").groupBy("pivot", "rid").agg(F.count("*").alias("many")).groupBy("rid").agg(F.max(F.struct("many", "pivot")).alias("most"))
+    most = publish(most.select(F.col("most.pivot").alias("a"), F.col("rid").alias("b")), "first_pivots")
+    apart = measured(most, members)
+    verified = compared(publish(apart.where(F.col("distance") <= RADIUS).select("a", "b"), "fitting"), held)
     near = verified.where("near").select("a", "b")
+    table = apart.join(small(verified.drop("near")), ["a", "b"], "left").select(F.col("b").alias("rid"), F.col("a").alias("first"), "distance", "both")
+    table = publish(own.join(small(table), "rid", "left"), "pivot_table")
+    known = lambda name: small(table.select(F.struct(*table.columns).alias(name), F.col("rid").alias(f"{name}_rid")))
+    # the other pivots, those of other classes
+    others = labelled(met.where("rid != pivot"), publish(components(near), "labels"), r1="pivot", r2="rid").where("r1 != r2").select(F.col("pivot").alias("a_rid"), F.col("rid").alias("b_rid")).distinct()
+    others = others.join(known("a"), "a_rid").join(known("b"), "b_rid").where(possible("a", "b"))
+    near = publish(near.unionByName(checked(publish(others.select(F.col("a_rid").alias("a"), F.col("b_rid").alias("b")), "other_pivots"), members, held)), "near")
+    # members of other classes than a pivot's, and whom they meet at it
     roots = publish(components(near), "labels")
-    label = lambda rid, name: small(roots.select(F.col("node").alias(rid), F.col("root").alias(name)))
-    table = table.join(label("a", "r1"), "a", "left").join(label("b", "r2"), "b", "left").join(small(verified.drop("near")), ["a", "b"], "left")
-    table = publish(table.select(F.col("a").alias("pivot"), F.col("b").alias("rid"), "distance", "both", F.col("b_n").alias("n"), F.col("b_own").alias("own"), F.coalesce("r1", "a").alias("main"), F.coalesce("r2", "b").alias("label")), "labelled")
-    apart = publish(led.join(small(table.where("label != main")), ["pivot", "rid"]).drop("pivot"), "apart")
-    open_ = led.join(small(publish(apart.select("key").distinct(), "open")), "key", "left_semi")
-    open_ = publish(open_.join(small(table), ["pivot", "rid"]).drop("pivot"), "open_rows")
-    a, b = apart.alias("a"), open_.alias("b")
-    need = needed(F.col("a.n"), F.col("b.n"))
-    rest = lambda x: F.col(f"{x}.own") - F.col(f"{x}.both")
-    on = (
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.label") != F.col("b.label"))
-        & ((F.col("b.label") == F.col("b.main")) | (F.col("a.rid") < F.col("b.rid")))
-        & (F.least("a.own", "b.own") >= need)
-        & (F.abs(F.col("a.distance") - F.col("b.distance")) <= RADIUS)
-        & F.coalesce(F.least("a.both", "b.both") + F.least(rest("a"), rest("b")) >= need, F.lit(True))
-    )
-    left = publish(a.join(b, on).select(F.least("a.rid", "b.rid").alias("a"), F.greatest("a.rid", "b.rid").alias("b")).distinct(), "left")
-    left = publish(measured(left, members).where(F.col("distance") <= RADIUS).select("a", "b"), "within")
-    more = compared(left, held).where("near").select("a", "b")
-    for x in (sizes, met, pivots, led, apart, open_):
+    table = publish(labelled(table, roots, label="rid"), "members")
+    rows = labelled(met.where("rid != pivot").join(small(table), "rid"), roots, main="pivot").drop("pivot")
+    rows = publish(rows.withColumn("main", F.col("label") == F.col("main")), "rows")
+    a, b = rows.where("not main").alias("a"), rows.alias("b")
+    once = F.col("b.main") | (F.col("a.rid") < F.col("b.rid"))
+    left = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.label") != F.col("b.label")) & once & possible("a", "b"))
+    left = publish(left.select(F.least("a.rid", "b.rid").alias("a"), F.greatest("a.rid", "b.rid").alias("b")).distinct(), "left")
+    near = publish(near.unionByName(checked(left, members, held)), "near")
+    for x in (members, met, rows):
         release(x)
-    return near.unionByName(more)
+    return near
+
+
+def checked(pairs: DataFrame, members: DataFrame, held: DataFrame) -> DataFrame:
+    """Those of the published pairs (a, b) whose fingerprints are within RADIUS and whose shingles reach the similarity."""
+    fits = publish(measured(pairs, members).where(F.col("distance") <= RADIUS).select("a", "b"), "fitting")
+    return compared(fits, held).where("near").select("a", "b")
 
 
 def copies(rows: DataFrame) -> DataFrame:
@@ -225,12 +249,16 @@ def copies(rows: DataFrame) -> DataFrame:
     same = publish(seen.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("many")).where("many > 1"), "same")
     equal = publish(seen.join(small(same), "digest").where("rid != first.rid").select("rid"), "equal")
     wanted = worth(seen.join(small(equal), "rid", "left_anti"))
-    under = components(links(sets(rows, wanted)))  # a class's least node is not among them
+    held = sets(rows, wanted)
+    under = components(links(held))  # a class's least node is not among them
     roots = publish(under.unionByName(under.select(F.col("root").alias("node"), "root")).distinct(), "roots")
     of = roots.join(seen.select("doc_id", "rid"), F.col("node") == F.col("rid")).select("root", place)
     firsts = of.groupBy("root").agg(F.min("place").alias("first")).select(F.col("first.rid").alias("node"))
     near = roots.join(firsts, "node", "left_anti").select(F.col("node").alias("rid"))
-    return equal.unionByName(near)
+    gone = publish(equal.unionByName(near), "gone")
+    for x in (seen, held):
+        release(x)
+    return gone
 
 
 def without_similar(docs: DataFrame) -> DataFrame:

@@ -549,6 +549,22 @@ def test_pipeline_near_dedup_goes_by_simhash(spark, monkeypatch):
     assert kept() == {1, 2, 3, 4, 5}
 
 
+def test_a_group_of_near_copies_is_not_paired(spark, monkeypatch):
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 120):  # each is near to the first one, most pairs of them are not near
+        words = list(base)
+        for at in r.sample(range(10, 140), 2):
+            words[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(words)))
+    counts = []
+    plain = similar.measured
+    monkeypatch.setattr(similar, "measured", lambda pairs, members: counts.append(pairs.count()) or plain(pairs, members))
+    assert [x["doc_id"] for x in similar.without_similar(frame(spark, rows)).collect()] == [0]
+    assert sum(counts) <= 3 * len(rows)
+
+
 def test_samples_show_what_near_copies_look_for():
     r = random.Random(9)
     for n in (1, 31, 63, 64, 127, 128, 1000, 5000):
